@@ -85,10 +85,11 @@ def top_order_lines(
     )
     if n <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
-    first_orders = orders.join(ids, F.col("order_id").eqNullSafe(F.col("_id")), "left_semi")
-    their_lines = lines.join(ids, F.col("order_id") == F.col("_id"), "left_semi")
+    first = F.col("order_id").eqNullSafe(F.col("_id"))
     return (
-        _outer_joined(first_orders, their_lines, customers)
+        _outer_joined(
+            orders.join(ids, first, "left_semi"), lines.join(ids, first, "left_semi"), customers
+        )
         .orderBy(*[F.asc_nulls_last(c) for c in EXTRACT])
         .limit(n)
     )

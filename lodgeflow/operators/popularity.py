@@ -8,39 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def counted_dimension(
-    listings: DataFrame,
-    facts: DataFrame,
-    on: dict[str, str],
-    attributes: list[str],
-    counted: str,
-    count_name: str,
-    extra_keys: Iterable[Column] = (),
+def join_copies(
+    listings: DataFrame, counts: DataFrame, on: list[str], attributes: list[str], count_name: str
 ) -> DataFrame:
-    """``listings JOIN facts GROUP BY keys, attributes`` with ``count(counted)``.
-
-    ``on`` maps listing columns to fact columns. Both sides are aggregated
-    before they meet: the facts to one count per key, the listings to one row
-    per key and attributes with its number of copies. A key or a group of
-    copies that holds a large share of either side is thereby reduced inside
-    each map task, the join sees unique rows, and count x copies is the count
-    that joining first would give.
+    """Join counted facts with the listings; ``on`` and ``attributes`` are listing columns.
+
+    Gives what joining single facts and then counting would: listings are
+    reduced to one row per key and attributes with its number of copies, and
+    the count is multiplied by it. Facts and listings are thus both aggregated
+    before they meet, so a listing that holds a large share of the facts, or a
+    group of copies that holds a large share of the listings, shrinks inside
+    each map task and never travels whole.
     """
-    extra = [c.alias(f"_extra_{i}") for i, c in enumerate(extra_keys)]
-    fact_keys = [F.col(fact).alias(f"_fact_{dim}") for dim, fact in on.items()]
-    counts = (
-        facts.select(*fact_keys, *extra, F.col(counted).alias("_counted"))
-        .groupBy(*[f"_fact_{dim}" for dim in on], *[f"_extra_{i}" for i in range(len(extra))])
-        .agg(F.count("_counted").alias("_count"))
-    )
     copies = listings.groupBy(*on, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
-    matches = [F.col(dim) == F.col(f"_fact_{dim}") for dim in on]
-    return copies.join(counts, matches, "inner").select(
-        *[f"_extra_{i}" for i in range(len(extra))],
-        *on,
-        *attributes,
-        (F.col("_count") * F.col("_copies")).alias(count_name),
-    )
+    return copies.join(counts, on).withColumn(count_name, F.col(count_name) * F.col("_copies"))
 
 
 def reviews_per_listing(listings: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -49,10 +30,12 @@ def reviews_per_listing(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     The tie-break also lets the range partitioning of the sort cut through a
     long run of equal counts.
     """
-    counted = counted_dimension(
-        listings, reviews, {"id": "listing_id"}, ["name"], "id", "num_reviews"
+    counts = reviews.groupBy(F.col("listing_id").alias("_id")).agg(F.count("id").alias("num_reviews"))
+    return (
+        join_copies(listings, counts.withColumnRenamed("_id", "id"), ["id"], ["name"], "num_reviews")
+        .select("id", "name", "num_reviews")
+        .orderBy(F.desc("num_reviews"), "id", "name")
     )
-    return counted.orderBy(F.desc("num_reviews"), "id", "name")
 
 
 def bookings_per_listing(
@@ -61,9 +44,14 @@ def bookings_per_listing(
     """``listing_id, name, price, booking_count``. All statuses count unless some are named."""
     if statuses is not None:
         bookings = bookings.where(F.col("status").isin(*statuses))
-    return counted_dimension(
-        listings, bookings, {"id": "listing_id"}, ["name", "price"], "booking_id", "booking_count"
-    ).withColumnRenamed("id", "listing_id")
+    counts = bookings.groupBy("listing_id").agg(F.count("booking_id").alias("booking_count"))
+    return join_copies(
+        listings.withColumnRenamed("id", "listing_id"),
+        counts,
+        ["listing_id"],
+        ["name", "price"],
+        "booking_count",
+    ).select("listing_id", "name", "price", "booking_count")
 
 
 def top_k(rows: DataFrame, k: int, *order: Column | str) -> DataFrame:

@@ -6,33 +6,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _floor(column: str, width: int):
+    return F.col(column) - F.pmod(F.col(column), F.lit(width))
+
+
+def _rows_before(sizes: DataFrame, *group: str, order: str, size: str, name: str) -> DataFrame:
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn(name, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+
+
 def row_positions(
     rows: DataFrame, batch: str, key: str, name: str = "row_index", *, width: int = 1_000_000
 ) -> DataFrame:
     """Add the 0-based position of each row in its ``batch``, in order of ``key``.
 
-    ``key`` is a unique whole number. Keys are cut into slots of ``width``;
-    rows are numbered inside their slot, and a slot's first number is the count
-    of rows in the batch's earlier slots. No window group exceeds ``width``
-    rows, however large the batch; the window over slots sees counts only.
+    ``key`` is a unique 64-bit whole number. Keys are cut into slots of
+    ``width`` and slots into blocks of ``width`` slots. A position is the
+    row's number in its slot, plus the rows in earlier slots of its block, plus
+    the rows in earlier blocks of its batch. So no window sees more than
+    ``width`` rows or slots, or 2^64 / width^2 blocks, however many rows one
+    batch holds and however far apart its keys lie.
     """
-    # As a struct a null batch equals itself, in the join as in the windows.
-    keyed = rows.withColumns({
-        "_batch": F.struct(batch),
-        "_slot": F.col(key) - F.pmod(F.col(key), F.lit(width)),
-    })
-    earlier = (
-        Window.partitionBy("_batch").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    # Structs, because a null inside a struct equals itself in a join too.
+    place = F.struct(F.col(batch).alias("batch"), _floor(key, width).alias("slot"))
+    placed = rows.withColumn("_place", place)
+
+    sizes = (
+        placed.groupBy("_place")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_block", F.struct("_place.batch", _floor("_place.slot", width**2).alias("block")))
+    )
+    blocks = _rows_before(
+        sizes.groupBy("_block").agg(F.sum("_rows").alias("_in_block")),
+        "_block.batch",
+        order="_block.block",
+        size="_in_block",
+        name="_block_offset",
     )
     offsets = (
-        keyed.groupBy("_batch", "_slot")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_batch", "_slot", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+        _rows_before(sizes, "_block", order="_place.slot", size="_rows", name="_slot_offset")
+        .join(blocks, "_block")
+        .select("_place", (F.col("_slot_offset") + F.col("_block_offset")).alias("_offset"))
     )
-    in_slot = F.row_number().over(Window.partitionBy("_batch", "_slot").orderBy(key))
+    number = F.row_number().over(Window.partitionBy("_place").orderBy(key))
     return (
-        keyed.withColumn("_in_slot", in_slot)
-        .join(offsets, ["_batch", "_slot"])
-        .withColumn(name, (F.col("_offset") + F.col("_in_slot") - 1).cast("bigint"))
-        .drop("_batch", "_slot", "_in_slot", "_offset")
+        placed.withColumn("_number", number)
+        .join(offsets, "_place")
+        .withColumn(name, (F.col("_offset") + F.col("_number") - 1).cast("bigint"))
+        .drop("_place", "_number", "_offset")
     )

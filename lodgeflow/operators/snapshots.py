@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.functions.timestamps import minute_start, month_stamp
-from lodgeflow.operators.popularity import counted_dimension
+from lodgeflow.functions.timestamps import month_stamp
+from lodgeflow.operators.popularity import join_copies
 
 
 def snapshot_bookings(
@@ -22,20 +22,27 @@ def snapshot_bookings(
     ``by="month"`` counts per month, ``by="minute"`` per ``batch_minute``, for
     any number of minutes and months in one job. Months without a snapshot
     contribute nothing.
+
+    Bookings are grouped by a time value; the month's text is formed once per
+    group instead of once per booking.
     """
-    if by not in ("month", "minute"):
+    if by == "month":
+        when, shown = F.trunc(time, "month"), "snapshot_month"
+    elif by == "minute":
+        when, shown = F.window(time, "1 minute"), "batch_minute"
+    else:
         raise ValueError("by must be 'month' or 'minute'")
-    facts = bookings.withColumn("_month", month_stamp(F.col(time)))
-    counted = counted_dimension(
-        snapshots,
-        facts,
-        {"id": "listing_id", "snapshot_month": "_month"},
+    counts = bookings.groupBy("listing_id", when.alias("_when")).agg(
+        F.count("booking_id").alias("booking_count")
+    )
+    if by == "minute":
+        counts = counts.withColumn("batch_minute", F.col("_when.start"))
+    start = F.col("_when" if by == "month" else "batch_minute")
+    counts = counts.withColumn("snapshot_month", month_stamp(start)).drop("_when")
+    return join_copies(
+        snapshots.withColumnRenamed("id", "listing_id"),
+        counts,
+        ["listing_id", "snapshot_month"],
         ["name", "price"],
-        "booking_id",
         "booking_count",
-        extra_keys=[minute_start(F.col(time))] if by == "minute" else (),
-    )
-    when = F.col("_extra_0").alias("batch_minute") if by == "minute" else F.col("snapshot_month")
-    return counted.select(
-        when, F.col("id").alias("listing_id"), "name", "price", "booking_count"
-    )
+    ).select(shown, "listing_id", "name", "price", "booking_count")

@@ -24,9 +24,15 @@ def write_csv(
     compression: str | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write CSV part files; quotes are doubled, so :func:`read_csv` reads them back."""
+    """Write CSV part files that :func:`lodgeflow.sources.read_csv` reads back unchanged.
+
+    Quotes are doubled and white space around a text is kept.
+    """
     _writer(rows, mode, partition_by).options(
-        quote=QUOTED["quote"], escape=QUOTED["escape"]
+        quote=QUOTED["quote"],
+        escape=QUOTED["escape"],
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path, header=header, compression=compression)
 
 

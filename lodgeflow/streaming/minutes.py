@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodgeflow.functions.cleaning import to_score
+from lodgeflow.operators.popularity import join_copies
 from lodgeflow.sources.files import QUOTED
 
 
@@ -104,14 +105,14 @@ def join_listings(
     The stream is aggregated before the join, so its state holds no listing
     attributes, and copies of a listing multiply the count as they do in batch.
     """
-    copies = listings.groupBy(F.col("id").alias("listing_id"), *attributes).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
-    return (
-        counts.join(copies, "listing_id")
-        .withColumn(count_name, F.col(count_name) * F.col("_copies"))
-        .drop("_copies")
-    )
+    keys = [c for c in counts.columns if c != count_name]
+    return join_copies(
+        listings.withColumnRenamed("id", "listing_id"),
+        counts,
+        ["listing_id"],
+        attributes,
+        count_name,
+    ).select(*keys, *attributes, count_name)
 
 
 def _started(writer, checkpoint: str, every: str | None) -> StreamingQuery:

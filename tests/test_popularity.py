@@ -1,0 +1,106 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgeflow import operators as ops
+
+
+@pytest.fixture
+def listings(spark):
+    return spark.createDataFrame(
+        [
+            (1, "Flat", "$10"),
+            (2, "Loft", "$20"),
+            (3, "Silent", "$30"),
+            (4, "Twice", "$40"),
+            (4, "Twice", "$40"),
+            (4, "Renamed", None),
+            (None, "No id", "$50"),
+        ],
+        "id bigint, name string, price string",
+    )
+
+
+@pytest.fixture
+def bookings(spark):
+    return spark.createDataFrame(
+        [
+            (10, 1, "confirmed"),
+            (10, 1, "cancelled"),
+            (None, 1, "pending"),
+            (11, 2, "pending"),
+            (12, 4, "confirmed"),
+            (13, 99, "confirmed"),
+            (14, None, "confirmed"),
+            (None, 2, "confirmed"),
+        ],
+        "booking_id bigint, listing_id bigint, status string",
+    )
+
+
+def test_bookings_count_non_null_ids_of_matching_listings(listings, bookings, rows):
+    got = ops.bookings_per_listing(listings, bookings)
+    assert got.columns == ["listing_id", "name", "price", "booking_count"]
+    assert rows(got) == sorted(
+        [
+            (1, "Flat", "$10", 2),
+            (2, "Loft", "$20", 1),
+            (4, "Twice", "$40", 2),
+            (4, "Renamed", None, 1),
+        ],
+        key=repr,
+    )
+
+
+def test_chosen_statuses(listings, bookings, rows):
+    got = ops.bookings_per_listing(listings, bookings, statuses=["pending"])
+    assert rows(got) == [(1, "Flat", "$10", 0), (2, "Loft", "$20", 1)]
+
+
+def test_equals_join_then_count(spark, rows):
+    """Against the plain form, on a table where one listing holds a third of the facts."""
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 11 != 0, F.col("id")).alias("booking_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("listing_id"),
+    )
+    dims = spark.range(120).selectExpr(
+        "id % 40 AS id", "concat('n', id % 60) AS name", "if(id % 5 = 0, null, 'p') AS price"
+    )
+    plain = (
+        dims.join(facts, dims.id == facts.listing_id)
+        .groupBy("listing_id", "name", "price")
+        .agg(F.count("booking_id").alias("booking_count"))
+    )
+    assert rows(ops.bookings_per_listing(dims, facts)) == rows(plain)
+
+
+def test_reviews_are_ranked_with_ties_by_id(listings, spark):
+    reviews = spark.createDataFrame(
+        [(1, 2), (2, 2), (3, 1), (4, 1), (5, 4)], "id bigint, listing_id bigint"
+    )
+    ranked = ops.reviews_per_listing(listings, reviews)
+    assert [tuple(r) for r in ranked.collect()] == [
+        (1, "Flat", 2),
+        (2, "Loft", 2),
+        (4, "Twice", 2),
+        (4, "Renamed", 1),
+    ]
+    best = ops.top_k(ranked, 2, F.desc("num_reviews"), "id")
+    assert [r.id for r in best.collect()] == [1, 2]
+
+
+def test_facts_are_reduced_before_the_shuffle_and_the_join(listings, bookings, plan, spark):
+    text = plan(ops.bookings_per_listing(listings, bookings))
+    assert text.count("partial_count") == 2
+    assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_order_survives_partitions(spark):
+    counts = Counter({listing: 1 + listing % 5 for listing in range(200)})
+    dims = spark.createDataFrame([(i, f"n{i}") for i in counts], "id bigint, name string")
+    reviews = spark.createDataFrame(
+        [(n, i) for i, times in counts.items() for n in range(times)], "id bigint, listing_id bigint"
+    )
+    got = [(r.num_reviews, r.id) for r in ops.reviews_per_listing(dims, reviews).collect()]
+    assert got == sorted(((n, i) for i, n in counts.items()), key=lambda x: (-x[0], x[1]))

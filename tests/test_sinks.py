@@ -1,0 +1,118 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from lodgeflow import sinks, sources
+
+
+@pytest.fixture
+def orders(spark):
+    return spark.createDataFrame(
+        [(1, 1996, 12), (2, 1997, 1), (3, 1997, 2)], "id int, order_year int, order_month int"
+    )
+
+
+def _text(path):
+    return "".join(p.read_text() for p in sorted(Path(path).glob("part-*")))
+
+
+def test_csv_header_is_optional(orders, tmp_path):
+    one = orders.coalesce(1)
+    sinks.write_csv(one, f"{tmp_path}/with", header=True)
+    sinks.write_csv(one, f"{tmp_path}/without")
+    assert _text(f"{tmp_path}/with").splitlines()[0] == "id,order_year,order_month"
+    assert _text(f"{tmp_path}/without").splitlines()[0] == "1,1996,12"
+
+
+def test_csv_refuses_then_overwrites(orders, tmp_path, spark):
+    path = f"{tmp_path}/out"
+    sinks.write_csv(orders, path)
+    with pytest.raises(AnalysisException):
+        sinks.write_csv(orders, path)
+    sinks.write_csv(orders.limit(1), path, mode="overwrite")
+    assert spark.read.csv(path).count() == 1
+
+
+def test_csv_text_survives(spark, tmp_path):
+    text = '  He said ""no"", twice,\r\nand \\left\\ "quietly"\n'
+    df = spark.createDataFrame(
+        [(text, datetime(2024, 1, 2, 3, 4, 5, 678901)), (None, None), ("", None)], "t string, at timestamp_ntz"
+    )
+    sinks.write_csv(df, f"{tmp_path}/out", header=True)
+    back = sources.read_csv(spark, f"{tmp_path}/out", df.schema)
+    assert set(map(tuple, back.collect())) == set(map(tuple, df.collect()))
+
+
+def test_csv_gzip(orders, tmp_path, spark):
+    sinks.write_csv(orders, f"{tmp_path}/out", header=True, compression="gzip")
+    assert list(Path(f"{tmp_path}/out").glob("*.csv.gz"))
+    assert sources.read_csv(spark, f"{tmp_path}/out", orders.schema).count() == 3
+
+
+def test_json_keeps_arrays_and_micros(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(datetime(2024, 1, 2, 3, 4, 5, 678901), ["a", "b"])], "at timestamp_ntz, x array<string>"
+    )
+    sinks.write_json(df, f"{tmp_path}/out")
+    back = spark.read.schema(df.schema).json(f"{tmp_path}/out", timestampNTZFormat=sources.MICROS)
+    assert back.collect() == df.collect()
+
+
+def test_empty_json_is_a_valid_result(orders, tmp_path, spark):
+    sinks.write_json(orders.where("false"), f"{tmp_path}/out")
+    assert spark.read.schema(orders.schema).json(f"{tmp_path}/out").count() == 0
+
+
+def test_raw_day_is_replaced_alone(orders, tmp_path, spark):
+    root = f"{tmp_path}/raw"
+    sinks.write_raw(orders, root, "20250101")
+    sinks.write_raw(orders, root, "20250102")
+    path = sinks.write_raw(orders.limit(1), root, "20250102")
+    assert path == f"{root}/day=20250102"
+    counts = sources.read_dated(spark, root, orders.schema, partition="day").groupBy("day").count()
+    assert dict(map(tuple, counts.collect())) == {"20250101": 3, "20250102": 1}
+
+
+@pytest.mark.parametrize(("overwrite", "want"), [("static", [9]), ("dynamic", [1, 3, 9])])
+def test_partition_overwrite(orders, tmp_path, spark, overwrite, want):
+    path, keys = f"{tmp_path}/out", ["order_year", "order_month"]
+    sinks.write_partitioned(orders, path, keys)
+    january = orders.where("order_month = 1").withColumn("id", F.lit(9))
+    sinks.write_partitioned(january, path, keys, overwrite=overwrite)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == want
+
+
+def test_partition_pruning(orders, tmp_path, spark, plan):
+    sinks.write_partitioned(orders, f"{tmp_path}/out", ["order_year", "order_month"])
+    read = sources.read_table(spark, f"{tmp_path}/out").where("order_year = 1997")
+    assert read.count() == 2
+    assert "PartitionFilters: [isnotnull(order_year" in plan(read)
+
+
+def test_one_file_per_small_partition(spark, tmp_path):
+    rows = spark.range(1000).repartition(8).selectExpr("id", "id % 3 AS order_month")
+    sinks.write_partitioned(rows, f"{tmp_path}/out", ["order_month"])
+    assert len(list(Path(f"{tmp_path}/out").glob("*/part-*"))) == 3
+
+
+def test_large_partition_is_split(spark, tmp_path):
+    """A month that holds nearly all rows is written by many tasks."""
+    rows = spark.range(0, 400_000, 1, 8).selectExpr(
+        "id", "sha2(cast(id AS string), 256) AS filler", "if(id % 100 = 0, 2, 1) AS order_month"
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "2m")
+    try:
+        sinks.write_partitioned(rows, f"{tmp_path}/out", ["order_month"])
+    finally:
+        spark.conf.unset(setting)
+    assert len(list(Path(f"{tmp_path}/out/order_month=1").glob("part-*"))) >= 4
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 400_000
+
+
+def test_landed_table(orders, tmp_path, spark):
+    sinks.write_table(orders, f"{tmp_path}/out")
+    assert sources.read_table(spark, f"{tmp_path}/out").count() == 3
