@@ -8,6 +8,7 @@ visits. Every query runs over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -411,8 +412,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return reviews_per_listing(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the optional llm subpackage and its pipeline, where they are installed."""
+    if find_spec("lodgeflow.llm") is None or find_spec("lodgeflow.llm.queries") is None:
+        return {}, {}
+    from lodgeflow.llm.queries import ORACLES, QUERIES as found
+
+    found, oracles = dict(found), dict(ORACLES)
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | _training_data()[0]
 
 
 # SQL counterparts ------------------------------------------------------------
@@ -480,7 +497,7 @@ WITH dirty AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _training_data()[1] | {
         "reviews_per_listing": _REVIEWS,
         "top_listings": f"{_REVIEWS} ORDER BY num_reviews DESC, id, name LIMIT 20",
         "bookings_per_listing": _BOOKINGS,
