@@ -1,12 +1,12 @@
 """What the operators of this package share: table access, lineage cuts, Arrow maps."""
 
-from __future__ import annotations
-
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.types import DataType, StructType
 
 from lodgeflow.session import scratch_dir
 
@@ -48,9 +48,21 @@ def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str) -
                     columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     parsed = StructType.fromDDL(schema)
     types = [f.type for f in to_arrow_schema(parsed)]
     return df.mapInArrow(batches, parsed)
+
+
+def per_row(function: Callable, kind: str) -> Callable[..., Column]:
+    """``function`` of the values of a row as a column function, by Arrow batches.
+
+    Binary columns arrive as bytes, structs as dicts. The column is marked as not
+    deterministic, so that a filter on it does not make Spark compute it twice.
+    """
+    parsed = DataType.fromDDL(kind)
+    arrow = to_arrow_type(parsed)
+
+    def apply(*columns: pa.Array) -> pa.Array:
+        return pa.array([function(*row) for row in zip(*(c.to_pylist() for c in columns))], arrow)
+
+    return F.arrow_udf(apply, returnType=parsed).asNondeterministic()

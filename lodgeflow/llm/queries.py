@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import simhash
+from lodgeflow.llm import decontam, simhash
 from lodgeflow.llm.common import table
 
 
@@ -16,7 +16,22 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), "hits")
+    items = F.array_sort(F.transform("hits.items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "hits.n_words",
+        decontam.n_hit("hits").alias("n_hit"),
+        F.size("hits.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        decontam.contaminated("hits").alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
 }
 ORACLES: dict[str, str] = {}
