@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import decontam, simhash
+from lodgeflow.llm import decontam, quality_cascade, simhash
 from lodgeflow.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_cascade.judged(docs).select("doc_id", "quality.*")
+
+
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), "hits")
@@ -31,6 +36,7 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
 }
