@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import decontam, quality_cascade, simhash
-from lodgeflow.llm.common import table
+from lodgeflow.llm import decontam, pii_votes, quality_cascade, simhash
+from lodgeflow.llm.common import landed, table
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,27 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.judged(docs).select("doc_id", "quality.*")
 
 
+def _listed(spans: Column) -> Column:
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.concat_ws(",", parts)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = landed(docs.select("doc_id", pii_votes.scanned(docs.text).alias("found")), "pii")
+    model = pii_votes.trained(found, "found")
+    base = F.col("found.base")
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)) for k in pii_votes.KINDS]
+    counts = [(F.size(kinds) - n).cast("bigint").alias(f"n_{k}") for n, k in zip(counts, pii_votes.KINDS)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(pii_votes.all_spans(model, "found")).alias("spans"),
+    )
+
+
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), "hits")
@@ -37,6 +58,7 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
 }
