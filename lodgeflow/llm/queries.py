@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import decontam, pii_votes, quality_cascade, simhash
+from lodgeflow.llm import decontam, pii_votes, quality_cascade, simhash, warc
 from lodgeflow.llm.common import landed, table
+from lodgeflow.session import scratch_dir
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +57,24 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    page = lambda name: F.regexp_extract(name, "<urn:page:(-?[0-9]+)>", 1).try_cast("bigint")
+    return warc.read(spark, path).where("kind = 'record'").select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
     "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
+    "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {}
