@@ -25,6 +25,14 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

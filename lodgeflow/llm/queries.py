@@ -7,7 +7,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import chat_format, decontam, pii_votes, quality_cascade, simhash, warc
+from lodgeflow.llm import chat_format, decontam, mixing, pii_votes, quality_cascade, simhash, warc
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
 
@@ -67,6 +67,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = landed(mixing.measured(table(spark, sf_dir, "documents")), "measured")
+    return mixing.mixed(rows, mixing.planned(rows))
+
+
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), "hits")
@@ -98,6 +103,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
+    "op6_mixing": op6_mixing,
     "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
     "op10_warc": op10_warc,

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.llm.common import landed, map_rows, utf8
+from lodgeflow.llm.common import fresh, landed, map_rows, per_row, utf8
 
 SEED = 42
 BLOCKS = 6
@@ -168,7 +168,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 3, words_per_shingle: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, fp, component_id, root) for every row of ``docs`` (doc_id, text).
+
+    ``root`` names the component by its smallest fingerprint, ``component_id`` by
+    its smallest id.
+    """
     prints = landed(fingerprints(docs, words_per_shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     joined = components(links(nodes.select("fp"), distance))
@@ -176,6 +180,23 @@ def near_duplicates(docs: DataFrame, distance: int = 3, words_per_shingle: int =
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return prints.join(named.join(least, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id"
+    return prints.join(named.join(least, "root").select("fp", "component_id", "root"), "fp").select(
+        "doc_id", "fp", "component_id", "root"
+    )
+
+
+def representatives(docs: DataFrame, distance: int = 3, words_per_shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest id, any of equal rows.
+
+    An id counts as larger where it is null.
+    """
+    found = near_duplicates(docs, distance, words_per_shingle)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("first")
+    fp = fresh(docs, "_fp")
+    kept = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.fp").alias("_print"))
+    printed = docs.withColumn(
+        fp, per_row(lambda t: _signed(fingerprint(t, words_per_shingle)), "bigint")(utf8("text"))
     )
+    # A semi join on a hash of id and fingerprint; repeated rows meet in the same partition.
+    match = printed.doc_id.eqNullSafe(kept._id) & (printed[fp] == kept._print)
+    return printed.join(kept, match, "left_semi").dropDuplicates(["doc_id", fp]).select(*docs.columns)
