@@ -18,7 +18,8 @@ own; an empty table gives an empty table. Other columns are not read.
 
 from __future__ import annotations
 
-import json
+import base64
+import functools
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -26,20 +27,24 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 TURN, TEXT, END = "<turn>", "<text>", "</turn>"
 
+# Fixed value: how byte-level BPE vocabularies cut text into words before merging.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
-def escaped(text: str, controls: list[str]) -> str:
+def escaped(text: str) -> str:
     text = text.replace("\\", "\\\\")
-    for control in controls:
+    for control in (TURN, TEXT, END):
         text = text.replace(control, f"{control[0]}\\{control[1:]}")
     return text
 
@@ -48,11 +53,11 @@ def unescaped(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def rendered(turns: list[tuple[str, str]], controls: list[str]) -> tuple[str, list[tuple[int, int]]]:
+def rendered(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     """The formatted conversation and the span of each turn's escaped text."""
     parts, spans, at = [], [], 0
     for role, text in turns:
-        head, body = f"{TURN}{escaped(role, controls)}{TEXT}", escaped(text, controls)
+        head, body = f"{TURN}{escaped(role)}{TEXT}", escaped(text)
         parts += [head, body, END]
         spans.append((at + len(head), at + len(head) + len(body)))
         at = spans[-1][1] + len(END)
@@ -68,33 +73,65 @@ def parsed(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def masked_spans(tokens: list[tuple[int, int]], spans: list[tuple[int, int]]) -> tuple[list[bool], list[tuple[int, int]]]:
-    """Which tokens carry loss, and the parts of them that lie inside ``spans`` (sorted, disjoint).
+def masked_spans(
+    starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which tokens touch ``spans`` (sorted, disjoint), and the parts of ``spans`` they cover.
 
-    Tokens may share characters, as pieces of one character do; each character
-    is in one part only.
+    Tokens are sorted and may share characters, as pieces of one character do;
+    the parts are disjoint.
     """
-    ends = np.array([e for _, e in spans], np.int64)
-    places = np.searchsorted(ends, np.array([a for a, _ in tokens], np.int64), side="right")
-    mask, parts, done = [], [], 0
-    for (start, end), k in zip(tokens, places.tolist()):
-        hit = False
-        while k < len(spans) and spans[k][0] < end:
-            a, b = max(start, spans[k][0]), min(end, spans[k][1])
-            if a < b:
-                hit = True
-                if b > done:
-                    parts.append((max(a, done), b))
-                    done = b
-            k += 1
-        mask.append(hit)
-    return mask, parts
+    mask = np.zeros(len(starts), bool)
+    spans = [s for s in spans if s[0] < s[1]]
+    if not spans or not len(starts):
+        return mask, []
+    begin, finish = np.array(spans, np.int64).T
+    first = np.searchsorted(finish, starts, side="right")  # the first span that ends after the token's start
+    last = np.searchsorted(begin, ends, side="left")  # one past the last span that starts before its end
+    mask = (first < last) & (starts < ends)
+    hit = np.flatnonzero(mask)
+    token = np.repeat(hit, last[hit] - first[hit])
+    place = np.concatenate([np.arange(a, b) for a, b in zip(first[hit], last[hit])] or [np.empty(0, np.int64)])
+    a, b = np.maximum(starts[token], begin[place]), np.minimum(ends[token], finish[place])
+    if not len(a):
+        return mask, []
+    reach = np.maximum.accumulate(b)
+    new = np.concatenate(([True], a[1:] > reach[:-1]))
+    return mask, list(zip(a[new].tolist(), np.maximum.reduceat(b, np.flatnonzero(new)).tolist()))
+
+
+class Encoder:
+    """A byte-level BPE that gives each token's characters."""
+
+    def __init__(self, ranks: bytes):
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        top = max(table.values()) + 1
+        self.special = {name: top + k for k, name in enumerate((TURN, TEXT, END))}
+        self._engine = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=table, special_tokens=self.special)
+        self._sizes = np.zeros(top + 3, np.int64)
+        for piece, rank in table.items():
+            self._sizes[rank] = len(piece)
+        for name, rank in self.special.items():
+            self._sizes[rank] = len(name)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids, and the first and past-the-last character that each token has a byte of."""
+        ids = np.array(self._engine.encode(text, allowed_special=set(self.special), disallowed_special=()), np.int64)
+        stops = np.cumsum(self._sizes[ids])
+        lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+        before = np.concatenate(([0], np.cumsum(lead)))  # characters that begin before a byte
+        at = stops - self._sizes[ids]
+        return ids, before[at] - ~np.concatenate((lead, [True]))[at], before[stops]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(ranks: bytes) -> Encoder:
+    return Encoder(ranks)
 
 
 _SCHEMA = (
-    "conv_id bigint, n_turns bigint, formatted string, token_ids array<int>, "
-    "token_spans array<struct<start:int, end:int>>, loss_mask array<boolean>, "
-    "loss_spans array<struct<start:int, end:int>>"
+    "conv_id bigint, n_turns bigint, formatted string, token_ids array<int>, token_starts array<int>, "
+    "token_ends array<int>, loss_mask array<boolean>, loss_spans array<struct<start:int, end:int>>"
 )
 
 
@@ -107,40 +144,31 @@ def formatted(
     cover inside the turns of ``loss_roles``. The driver reads the tokenizer's
     file and sends it along; executors need no copy.
     """
-    definition = Path(tokenizer).read_text()
-    special = [t["content"] for t in json.loads(definition).get("added_tokens", [])]
-    controls = list(dict.fromkeys([TURN, TEXT, END, *(s for s in special if len(s) > 1)]))
-    shared = conversations.sparkSession.sparkContext.broadcast(definition)
+    shared = conversations.sparkSession.sparkContext.broadcast(Path(tokenizer).read_bytes())
     schema = to_arrow_schema(StructType.fromDDL(_SCHEMA))
 
     def turns(source: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in source:
-            yield from zip(*(c.to_pylist() for c in batch.columns))
+            for start in range(0, batch.num_rows, 256):
+                yield from zip(*(c.to_pylist() for c in batch.slice(start, 256).columns))
 
     def conversations_of(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import AddedToken, Tokenizer, processors
-
-        encoder = Tokenizer.from_str(shared.value)
-        encoder.post_processor = processors.ByteLevel(trim_offsets=False)
-        encoder.add_special_tokens([AddedToken(c, special=True, normalized=False) for c in (TURN, TEXT, END)])
+        encoder = _encoder(shared.value)
         held, size = [], 0
         for conv, rows in groupby(turns(source), key=lambda r: r[0]):
             said = [(role, text) for _, role, text in rows]
-            text, spans = rendered(said, controls)
+            text, spans = rendered(said)
             lossy = [s for s, (role, _) in zip(spans, said) if role in loss_roles]
-            code = encoder.encode(text, add_special_tokens=False)
-            mask, parts = masked_spans(code.offsets, lossy)
-            span = lambda s: {"start": s[0], "end": s[1]}
-            held.append({
-                "conv_id": conv, "n_turns": len(said), "formatted": text, "token_ids": code.ids,
-                "token_spans": list(map(span, code.offsets)), "loss_mask": mask, "loss_spans": list(map(span, parts)),
-            })
+            ids, starts, ends = encoder.encode(text)
+            mask, parts = masked_spans(starts, ends, lossy)
+            loss = [{"start": a, "end": b} for a, b in parts]
+            held.append((conv, len(said), text, ids, starts, ends, mask, loss))
             size += len(text)
-            if size > 1 << 20:
-                yield pa.RecordBatch.from_pylist(held, schema)
+            if size > 1 << 18:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
                 held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_pylist(held, schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
     blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     ordered = (

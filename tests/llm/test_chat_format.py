@@ -1,6 +1,8 @@
 import hashlib
 import random
+from pathlib import Path
 
+import numpy as np
 import pyarrow.parquet as pq
 
 from lodgeflow.llm import chat_format, queries
@@ -52,17 +54,27 @@ def test_edge_conversations(spark):
         turns = "".join(f"{a}\n{b}\n" for a, b in chat_format.parsed(r.formatted))
         loss = chat_format.unescaped("".join(r.formatted[s.start : s.end] for s in r.loss_spans))
         got.append((r.conv_id, r.n_turns, sha(turns), len(loss), sha(loss)))
-        assert len(r.token_ids) == len(r.token_spans) == len(r.loss_mask)
+        assert len(r.token_ids) == len(r.token_starts) == len(r.token_ends) == len(r.loss_mask)
         # A masked token touches assistant text; an unmasked one touches none of it.
         inside = {c for s in r.loss_spans for c in range(s.start, s.end)} if r.conv_id != 6 else None
         if inside is not None:
-            for span, lossy in zip(r.token_spans, r.loss_mask):
-                assert lossy == any(c in inside for c in range(span.start, span.end))
+            for start, end, lossy in zip(r.token_starts, r.token_ends, r.loss_mask):
+                assert start < end and lossy == any(c in inside for c in range(start, end))
     assert sorted(got, key=repr) == brute(said)
     assert chat_format.formatted(table.limit(0)).collect() == []
 
 
 def test_straddling_tokens_are_clipped():
-    mask, parts = chat_format.masked_spans([(0, 3), (3, 4), (3, 4), (4, 9), (9, 12)], [(2, 5), (5, 5), (8, 10)])
-    assert mask == [True, True, True, True, True]
-    assert parts == [(2, 3), (3, 4), (4, 5), (8, 9), (9, 10)]
+    starts, ends = np.array([(0, 3), (3, 4), (3, 4), (4, 9), (9, 12), (12, 13)]).T
+    mask, parts = chat_format.masked_spans(starts, ends, [(2, 5), (5, 5), (8, 10)])
+    assert mask.tolist() == [True, True, True, True, True, False]
+    assert parts == [(2, 5), (8, 10)]
+
+
+def test_token_characters():
+    encoder = chat_format.Encoder(Path(chat_format.TOKENIZER).read_bytes())
+    text = "<turn>é漢字😀 ok\n<text>"
+    ids, starts, ends = encoder.encode(text)
+    assert starts[0] == 0 and ends[0] == 6 and ends[-1] == len(text)
+    assert all(s <= e for s, e in zip(starts[1:], ends)) and sorted(starts) == list(starts)
+    assert {c for a, b in zip(starts, ends) for c in range(a, b)} == set(range(len(text)))
