@@ -70,7 +70,7 @@ _CLOSES = {
 }
 _P = frozenset(("p",))
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _CLASS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
 

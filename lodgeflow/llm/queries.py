@@ -7,7 +7,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import chat_format, decontam, mixing, pii_votes, quality_cascade, simhash, warc
+from lodgeflow.llm import chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, warc
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
 
@@ -86,6 +86,11 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_wrapper.main_texts(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -106,6 +111,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_decontam": op7_decontam,
     "op8_simhash": op8_simhash,
+    "op9_html": op9_html,
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {}
