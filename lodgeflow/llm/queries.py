@@ -93,7 +93,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
-    warc.write(table(spark, sf_dir, "pages"), path)
+    warc.write(table(spark, sf_dir, "pages"), path, compression="gzip")
     page = lambda name: F.regexp_extract(name, "<urn:page:(-?[0-9]+)>", 1).try_cast("bigint")
     return warc.read(spark, path).where("kind = 'record'").select(
         page("record_id").alias("page_id"),
