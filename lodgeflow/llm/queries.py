@@ -7,7 +7,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, warc
+from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, warc
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
 
@@ -41,6 +41,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_cascade.judged(docs).select("doc_id", "quality.*")
@@ -106,6 +110,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat": op2_chat,
+    "op3_brown": op3_brown,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
     "op6_mixing": op6_mixing,
