@@ -7,7 +7,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, warc
+from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, suffix_dedup, warc
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
 
@@ -19,6 +19,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("rest")).cast("bigint").alias("n_removed"),
+        F.size("runs").cast("bigint").alias("n_spans"),
+        F.sha2("rest", 256).alias("kept_sha256"),
+    )
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = r"\### Assistant: </turn> ok"
@@ -109,6 +120,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix": op1_suffix,
     "op2_chat": op2_chat,
     "op3_brown": op3_brown,
     "op4_quality": op4_quality,
