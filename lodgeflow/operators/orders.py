@@ -9,9 +9,6 @@ from lodgeflow.functions.cleaning import clean_currency, order_month, order_year
 
 EXTRACT = ["order_id", "order_date", "customer_name", "quantity", "unit_price"]
 
-#: Largest ``n`` for which the ids of the first ``n`` orders are broadcast.
-MAX_BROADCAST_IDS = 10_000
-
 
 def _prepared(orders: DataFrame, lines: DataFrame, customers: DataFrame):
     return (
@@ -83,8 +80,6 @@ def top_order_lines(
     ids = (
         orders.orderBy(F.asc_nulls_last("order_id")).limit(n).select(F.col("order_id").alias("_id"))
     )
-    if n <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)
     first = F.col("order_id").eqNullSafe(F.col("_id"))
     return (
         _outer_joined(

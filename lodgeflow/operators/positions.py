@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _floor(column: str, width: int):
-    return F.col(column) - F.pmod(F.col(column), F.lit(width))
+def _slot(column: str, bits: int):
+    """Whole numbers by their upper bits, which keeps their order and cannot overflow."""
+    return F.shiftright(F.col(column).cast("bigint"), bits)
 
 
 def _rows_before(sizes: DataFrame, *group: str, order: str, size: str, name: str) -> DataFrame:
@@ -16,25 +17,25 @@ def _rows_before(sizes: DataFrame, *group: str, order: str, size: str, name: str
 
 
 def row_positions(
-    rows: DataFrame, batch: str, key: str, name: str = "row_index", *, width: int = 1_000_000
+    rows: DataFrame, batch: str, key: str, name: str = "row_index", *, bits: int = 20
 ) -> DataFrame:
     """Add the 0-based position of each row in its ``batch``, in order of ``key``.
 
     ``key`` is a unique 64-bit whole number. Keys are cut into slots of
-    ``width`` and slots into blocks of ``width`` slots. A position is the
-    row's number in its slot, plus the rows in earlier slots of its block, plus
-    the rows in earlier blocks of its batch. So no window sees more than
-    ``width`` rows or slots, or 2^64 / width^2 blocks, however many rows one
-    batch holds and however far apart its keys lie.
+    2^bits and slots into blocks of 2^bits slots. A position is the row's
+    number in its slot, plus the rows in earlier slots of its block, plus the
+    rows in earlier blocks of its batch. So no window sees more than 2^bits
+    rows or slots, or 2^(64 - 2 bits) blocks, however many rows one batch holds
+    and however far apart its keys lie.
     """
     # Structs, because a null inside a struct equals itself in a join too.
-    place = F.struct(F.col(batch).alias("batch"), _floor(key, width).alias("slot"))
+    place = F.struct(F.col(batch).alias("batch"), _slot(key, bits).alias("slot"))
     placed = rows.withColumn("_place", place)
 
     sizes = (
         placed.groupBy("_place")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_block", F.struct("_place.batch", _floor("_place.slot", width**2).alias("block")))
+        .withColumn("_block", F.struct("_place.batch", _slot("_place.slot", bits).alias("block")))
     )
     blocks = _rows_before(
         sizes.groupBy("_block").agg(F.sum("_rows").alias("_in_block")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,13 @@ def rows_in_range(rows: DataFrame, ts: str, start: str, minutes: int = 1) -> Dat
     """Rows from the text time ``start``, cut to its minute, for ``minutes``.
 
     The bounds are literals of the column's own type, so the filter reaches the
-    Parquet scan or the database.
+    Parquet scan or the database; a wall-clock column is compared as such,
+    whatever the session's time zone.
     """
-    type_ = rows.schema[ts].dataType.simpleString()
-    first = F.expr(f"date_trunc('minute', timestamp '{start}')").cast(type_)
-    last = F.expr(f"date_trunc('minute', timestamp '{start}') + interval {minutes} minute")
-    return rows.where(in_range(F.col(ts), first, last.cast(type_)))
+    first = datetime.fromisoformat(start).replace(second=0, microsecond=0)
+    last = first + timedelta(minutes=minutes)
+    type_ = rows.schema[ts].dataType
+    return rows.where(in_range(F.col(ts), *(F.lit(str(t)).cast(type_) for t in (first, last))))
 
 
 def tumbling_count(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 from collections.abc import Mapping
 from uuid import uuid4
 
@@ -53,20 +51,13 @@ def get_spark(
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="lodgeflow-")
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder for intermediate tables and checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor must reach.
-    Only a local master may go without that setting.
+    It lies under ``spark.checkpoint.dir``, or where that is not set under the
+    warehouse, as every executor must reach it. What is written there is left to
+    whoever cleans that folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_scratch()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"

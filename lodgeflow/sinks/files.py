@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from lodgeflow.sources.files import MICROS, QUOTED
+from lodgeflow.sources.files import MICROS, NULL, QUOTED
 
 _TIMES = {"timestampFormat": MICROS, "timestampNTZFormat": MICROS}
 
@@ -26,11 +27,20 @@ def write_csv(
 ) -> None:
     """Write CSV part files that :func:`lodgeflow.sources.read_csv` reads back unchanged.
 
-    Quotes are doubled and white space around a text is kept.
+    Quotes are doubled and white space around a text is kept. Other readers see
+    null as a blank field and the empty text as a quoted blank. In a file of one
+    column a null is written as the reserved character ``NULL``, as readers skip
+    blank lines; a text that is just this character is refused.
     """
+    columns = [f for f in rows.schema.fields if f.name not in (partition_by or ())]
+    texts = [f.name for f in columns if isinstance(f.dataType, StringType)]
+    refused = F.raise_error(F.lit("a text is the reserved null marker U+FDD0"))
+    rows = rows.withColumns({c: F.when(F.col(c) == NULL, refused).otherwise(F.col(c)) for c in texts})
     _writer(rows, mode, partition_by).options(
         quote=QUOTED["quote"],
         escape=QUOTED["escape"],
+        nullValue=NULL if len(columns) == 1 else "",
+        emptyValue='""',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path, header=header, compression=compression)

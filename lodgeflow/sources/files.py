@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lodgeflow.functions.timestamps import batch_minute_from_path
 
+#: Stands for null where a blank field can't: a character that Unicode reserves for such use.
+NULL = "\ufdd0"
+
 #: RFC-4180 text: quotes inside a field are doubled, fields may hold newlines.
-QUOTED = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+#: A blank field is null and a quoted blank is the empty text.
+QUOTED = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": NULL, "emptyValue": ""}
+
+#: For files of other origin, where a quoted blank means null as a plain one does.
+FOREIGN = {"nullValue": ""}
 
 #: Microseconds survive a text round trip only with an explicit format.
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -45,18 +52,28 @@ def read_csv(
     shifted. Without a header ``schema`` is positional. With neither schema nor
     ``infer`` all columns are strings. ``infer`` costs a second pass.
 
-    ``keep`` names further columns to carry along, such as partition columns.
+    A blank field is null, a quoted blank the empty text; ``**FOREIGN`` takes
+    both for null. ``keep`` names further columns to carry along, such as
+    partition columns.
     ``multi_line`` and gzip both make a file one task: for a large table keep
     the files small, pass ``multi_line=False`` where fields hold no newline, or
     land it once as Parquet (:func:`lodgeflow.sinks.write_table`).
     """
-    reader = spark.read.options(**QUOTED, multiLine=multi_line, header=header, **options)
+    reader = spark.read.options(**{**QUOTED, "multiLine": multi_line, "header": header, **options})
     if not header:
         return reader.schema(schema).csv(path) if schema else reader.csv(path, inferSchema=infer)
     raw = reader.csv(path, enforceSchema=False, inferSchema=infer and schema is None)
     return _typed(raw, schema, keep) if schema else raw
 
 
+def spread(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of a file that only one task can read, dealt to many for what follows.
+
+    That is so for gzip, by the path's extension; other rows are returned as they are.
+    """
+    return rows.hint("rebalance") if path.rstrip("/").endswith(".gz") else rows
+
+
 def read_dated(
     spark: SparkSession,
     root: str,
@@ -70,8 +87,10 @@ def read_dated(
 
     ``dates`` lists only those directories, which on an object store is cheaper
     than listing the whole root and pruning; a later filter on the partition
-    column is pruned as well.
+    column is pruned as well. No dates give no rows.
     """
+    if dates is not None and not dates:
+        return spark.createDataFrame([], StructType([*schema.fields, StructField(partition, StringType())]))
     paths = [f"{root.rstrip('/')}/{partition}={d}" for d in dates] if dates else root
     return read_csv(
         spark, paths, schema, keep=(partition,), basePath=root, **options

@@ -57,7 +57,7 @@ def test_json_keeps_arrays_and_micros(spark, tmp_path):
         [(datetime(2024, 1, 2, 3, 4, 5, 678901), ["a", "b"])], "at timestamp_ntz, x array<string>"
     )
     sinks.write_json(df, f"{tmp_path}/out")
-    back = spark.read.schema(df.schema).json(f"{tmp_path}/out", timestampNTZFormat=sources.MICROS)
+    back = spark.read.schema(df.schema).options(timestampNTZFormat=sources.MICROS).json(f"{tmp_path}/out")
     assert back.collect() == df.collect()
 
 
