@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lodgeflow import functions as fn
 from lodgeflow import operators as ops
-from lodgeflow import sinks, sources, streaming
+from lodgeflow import schemas, sinks, sources, streaming
 from lodgeflow.session import scratch_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -133,7 +133,11 @@ def order_lines_top100(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_row_count(spark: SparkSession, sf: str) -> DataFrame:
-    return order_lines_extract(spark, sf).agg(F.count(F.lit(1)).alias("num_rows"))
+    """Counted while the extract is written, without another pass."""
+    seen = Observation()
+    rows = order_lines_extract(spark, sf).observe(seen, F.count(F.lit(1)).alias("num_rows"))
+    sinks.write_table(rows, scratch_dir(spark, "extract"))
+    return spark.createDataFrame([(seen.get["num_rows"],)], "num_rows bigint")
 
 
 def order_lines_transformed(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,8 +241,7 @@ def monthly_snapshot_bookings(spark: SparkSession, sf: str) -> DataFrame:
     return ops.snapshot_bookings(_part_listings(spark, sf).join(prices, "id"), lines)
 
 
-def minute_snapshot_bookings(spark: SparkSession, sf: str) -> DataFrame:
-    """Prices of the months in which a user bought, against all events by minute."""
+def _purchase_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     prices = (
         _table(spark, sf, "events")
         .where(F.col("event_type") == "purchase")
@@ -247,8 +250,14 @@ def minute_snapshot_bookings(spark: SparkSession, sf: str) -> DataFrame:
         )
         .agg(F.max("value").alias("price"))
     )
-    snapshots = _customer_listings(spark, sf).drop("price").join(prices, "id")
-    return ops.snapshot_bookings(snapshots, _event_bookings(spark, sf), by="minute")
+    return _customer_listings(spark, sf).drop("price").join(prices, "id")
+
+
+def minute_snapshot_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of the months in which a user bought, against all events by minute."""
+    return ops.snapshot_bookings(
+        _purchase_snapshots(spark, sf), _event_bookings(spark, sf), by="minute"
+    )
 
 
 # Sinks and sources, written to a scratch folder and read back ---------------
@@ -298,6 +307,20 @@ def csv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _csv_roundtrip(spark, sf, "documents")
 
 
+def csv_roundtrip_blanks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 5th text blank and every 7th null, beside other columns and in a file of its own."""
+    place = F.col("doc_id")
+    text = F.when(place % 7 == 0, None).when(place % 5 == 0, "").otherwise(F.col("text"))
+    rows = _table(spark, sf, "documents").select("doc_id", text.alias("text"))
+    both, alone = scratch_dir(spark, "blanks-csv"), scratch_dir(spark, "single-csv")
+    sinks.write_csv(rows, both, header=True)
+    sinks.write_csv(rows.select("text"), alone, header=True)
+    single = sources.read_csv(spark, alone, rows.select("text").schema)
+    return sources.read_csv(spark, both, rows.schema).unionByName(
+        single.select(F.lit(-1).cast("bigint").alias("doc_id"), "text")
+    )
+
+
 def csv_all_strings(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "scores-csv")
     sinks.write_csv(_line_reviews(spark, sf), path, header=True)
@@ -322,6 +345,46 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("batch_minute")
 
 
+def _array_files(rows: DataFrame, root: str) -> str:
+    """One JSON array file per hour, named after the hour's first minute, rows in order of event_id."""
+    hour = fn.minute_stamp(F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    fields = [c for c in rows.columns if c not in ("event_id", "ts")]
+    listed = F.array_sort(F.collect_list(F.struct("event_id", F.struct(*fields).alias("row"))))
+    arrays = rows.groupBy(hour.alias("stamp")).agg(listed.alias("all"))
+    value = F.to_json(F.transform("all", lambda x: x["row"]), {"ignoreNullFields": "false"})
+    arrays.select("stamp", value.alias("value")).write.partitionBy("stamp").text(root)
+    return root
+
+
+def json_array_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules over batches whose fields hold numbers, texts or blanks, read as VARIANT."""
+    event = F.col("event_id")
+    rows = _table(spark, sf, "events").select(
+        "event_id",
+        "ts",
+        (event % 7).alias("booking_id"),
+        F.when(event % 3 == 0, "0").otherwise(event.cast("string")).alias("listing_id"),
+        "user_id",
+        F.when(event % 11 == 0, "").otherwise(fn.time_text(F.col("ts"))).alias("booking_time"),
+        F.when(event % 5 == 0, None).otherwise(F.col("event_type")).alias("status"),
+    )
+    root = _array_files(rows, scratch_dir(spark, "booking-arrays"))
+    read = sources.read_json_batches(spark, root, schemas.DIRTY_BOOKINGS)
+    found = ops.row_anomalies(read, fn.booking_rules(read, valid_statuses=STATUSES))
+    return found.withColumn("anomalies", F.concat_ws("; ", "anomalies"))
+
+
+def json_array_page_visits(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "events").select(
+        "event_id",
+        "ts",
+        F.col("event_id").alias("id"),
+        F.round(F.col("value") * 100).cast("bigint").alias("page_visits"),
+    )
+    root = _array_files(rows, scratch_dir(spark, "visit-arrays"))
+    return ops.avg_page_visits(sources.read_json_rows(spark, root, schemas.PAGE_VISITS), "batch_minute")
+
+
 def dated_directories(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "orders-dated")
     orders = _table(spark, sf, "orders").withColumn("date", fn.month_stamp(F.col("o_orderdate")))
@@ -335,7 +398,7 @@ def dated_directories(spark: SparkSession, sf: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = _table(spark, sf, "events").schema
-    return streaming.file_stream(spark, f"{sf}/events.parquet", schema)
+    return streaming.file_stream(spark, sf, schema, only="events.parquet")
 
 
 def stream_bookings_per_minute(spark: SparkSession, sf: str) -> DataFrame:
@@ -364,10 +427,25 @@ def stream_static_bookings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_hourly_score(spark: SparkSession, sf: str) -> DataFrame:
-    out = scratch_dir(spark, "hourly-scores")
-    scores = streaming.sliding_scores(_event_stream(spark, sf), "ts", "event_type", F.col("value"))
-    streaming.write_closed(scores, out, scratch_dir(spark, "checkpoint")).awaitTermination()
-    return sources.read_table(spark, out)
+    log = scratch_dir(spark, "minute-scores")
+    scores = streaming.minute_scores(_event_stream(spark, sf), "ts", "event_type", F.col("value"))
+    streaming.write_updates(scores, log, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return streaming.hourly_scores(spark, log)
+
+
+def stream_monthly_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's counterpart of ``minute_snapshot_bookings``."""
+    log = scratch_dir(spark, "monthly-counts")
+    counts = streaming.windowed_counts(
+        _event_stream(spark, sf).withColumnRenamed("user_id", "listing_id"),
+        "ts",
+        ["listing_id"],
+        "event_id",
+        "booking_count",
+    )
+    joined = streaming.join_snapshots(counts, _purchase_snapshots(spark, sf), "booking_count")
+    streaming.write_updates(joined, log, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return streaming.latest_counts(spark, log, "booking_count")
 
 
 QUERIES = (
@@ -397,12 +475,16 @@ QUERIES = (
     csv_headerless_roundtrip,
     csv_roundtrip_events,
     csv_roundtrip_documents,
+    csv_roundtrip_blanks,
     csv_all_strings,
     csv_inferred,
     json_roundtrip,
+    json_array_anomalies,
+    json_array_page_visits,
     dated_directories,
     stream_bookings_per_minute,
     stream_static_bookings,
+    stream_monthly_bookings,
     stream_hourly_score,
 )
 
@@ -473,10 +555,23 @@ FROM (
                                 date_trunc('minute', ts), INTERVAL 1 MINUTE)) AS window_start
   FROM events
 )
-{closed}
 GROUP BY window_start, event_type
 """
 
+_MINUTE_SNAPSHOTS = """
+WITH snapshots AS (
+  SELECT c_custkey AS id, c_name AS name, max(value) AS price,
+         strftime(ts, '%Y-%m') AS snapshot_month
+  FROM customer JOIN events ON c_custkey = user_id
+  WHERE event_type = 'purchase'
+  GROUP BY ALL
+)
+SELECT date_trunc('minute', ts) AS {minute}, id AS listing_id, name, price,
+       count(event_id) AS booking_count
+FROM snapshots JOIN events ON id = user_id AND snapshot_month = strftime(ts, '%Y-%m')
+GROUP BY ALL
+"""
+
 _DIRTY = """
 WITH dirty AS (
   SELECT event_id, date_trunc('minute', ts) AS batch_minute,
@@ -558,7 +653,7 @@ def oracle_sql() -> dict[str, str]:
                    strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text
             FROM events""",
         "bookings_per_minute": _PER_MINUTE.format(window="window_start", key="status"),
-        "hourly_sliding_score": _HOURLY.format(key="event_type", closed=""),
+        "hourly_sliding_score": _HOURLY.format(key="event_type"),
         "monthly_snapshot_bookings": """
             WITH snapshots AS (
               SELECT p_partkey AS id, p_name AS name, max(l_extendedprice) AS price,
@@ -572,19 +667,7 @@ def oracle_sql() -> dict[str, str]:
             FROM snapshots JOIN lineitem
               ON id = l_partkey AND snapshot_month = strftime(l_shipdate, '%Y-%m')
             GROUP BY ALL""",
-        "minute_snapshot_bookings": """
-            WITH snapshots AS (
-              SELECT c_custkey AS id, c_name AS name, max(value) AS price,
-                     strftime(ts, '%Y-%m') AS snapshot_month
-              FROM customer JOIN events ON c_custkey = user_id
-              WHERE event_type = 'purchase'
-              GROUP BY ALL
-            )
-            SELECT date_trunc('minute', ts) AS batch_minute, id AS listing_id, name, price,
-                   count(event_id) AS booking_count
-            FROM snapshots JOIN events
-              ON id = user_id AND snapshot_month = strftime(ts, '%Y-%m')
-            GROUP BY ALL""",
+        "minute_snapshot_bookings": _MINUTE_SNAPSHOTS.format(minute="batch_minute"),
         "partitioned_roundtrip": """
             SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS order_year,
                    CAST(month(o_orderdate) AS INT) AS order_month
@@ -594,6 +677,32 @@ def oracle_sql() -> dict[str, str]:
         "csv_headerless_roundtrip": "SELECT * FROM orders",
         "csv_roundtrip_events": "SELECT * FROM events",
         "csv_roundtrip_documents": "SELECT * FROM documents",
+        "csv_roundtrip_blanks": """
+            WITH t AS (
+              SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN ''
+                                  ELSE text END AS text
+              FROM documents)
+            SELECT doc_id, text FROM t UNION ALL SELECT CAST(-1 AS BIGINT), text FROM t""",
+        "json_array_anomalies": """
+            WITH t AS (
+              SELECT date_trunc('hour', ts) AS batch_minute, event_id, user_id, event_type,
+                     row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id) - 1
+                       AS row_index
+              FROM events
+            ), found AS (
+              SELECT batch_minute, row_index, concat_ws('; ',
+                CASE WHEN event_id % 7 = 0 THEN 'Missing booking_id' END,
+                CASE WHEN user_id = 0 THEN 'Missing user_id' END,
+                CASE WHEN event_id % 11 = 0 THEN 'Missing booking_time' END,
+                CASE WHEN event_id % 5 = 0 OR event_type = '' THEN 'Missing status'
+                     WHEN event_type NOT IN ('view', 'click', 'purchase')
+                       THEN 'Invalid status: ' || event_type END) AS anomalies
+              FROM t)
+            SELECT * FROM found WHERE anomalies <> ''""",
+        "json_array_page_visits": """
+            SELECT date_trunc('hour', ts) AS batch_minute,
+                   avg(CAST(round(value * 100) AS BIGINT)) AS avg_page_visits
+            FROM events GROUP BY ALL""",
         "csv_all_strings": _SCORES,
         "csv_inferred": _BOOKINGS,
         "json_roundtrip": "SELECT * FROM events",
@@ -605,9 +714,6 @@ def oracle_sql() -> dict[str, str]:
                    c_name AS name, c_acctbal AS price, count(event_id) AS booking_count
             FROM events JOIN customer ON user_id = c_custkey
             GROUP BY ALL""",
-        "stream_hourly_score": _HOURLY.format(
-            key="listing_id",
-            closed="""WHERE window_start + INTERVAL 1 HOUR
-                       <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
-        ),
+        "stream_hourly_score": _HOURLY.format(key="listing_id"),
+        "stream_monthly_bookings": _MINUTE_SNAPSHOTS.format(minute="window_start"),
     }

@@ -13,11 +13,13 @@ from lodgeflow.session import get_spark
 
 
 def _popular(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.popular_listings(spark, a.listings, a.reviews, a.output, header=not a.no_header)
+    plans.popular_listings(spark, a.listings, a.reviews, a.output, header=not a.no_header, multi_line=not a.single_line)
 
 
 def _bookings(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.bookings_report(spark, a.listings_file, a.bookings_file, a.output_path)
+    plans.bookings_report(
+        spark, a.listings_file, a.bookings_file, a.output_path, multi_line=not a.single_line
+    )
 
 
 def _bookings_db(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -27,7 +29,7 @@ def _bookings_db(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _scores(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.review_scores(spark, a.customer_reviews, a.output_path)
+    plans.review_scores(spark, a.customer_reviews, a.output_path, multi_line=not a.single_line)
 
 
 def _scores_db(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -37,16 +39,16 @@ def _scores_db(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _quality(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.quality_report(spark, a.bookings, a.output_path).orderBy("batch_minute").show()
+    plans.quality_report(spark, a.bookings, a.output_path)
 
 
 def _visits(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.page_visits_report(spark, a.visits).orderBy("batch_minute").show()
+    plans.page_visits_report(spark, a.visits, a.output_path)
 
 
 def _extract(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.extract_order_lines(
-        spark, a.url, a.raw_root, a.day, limit=a.limit or None, **dict(a.option)
+        spark, a.url, a.raw_root, a.day, limit=a.limit, **dict(a.option)
     )
 
 
@@ -58,7 +60,7 @@ def _transform(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _stream(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.stream_bookings(
-        spark, a.bookings_root, a.listings, a.log, a.checkpoint, delay=a.delay, every=a.every
+        spark, a.bookings_root, a.listings_root, a.log, a.checkpoint, delay=a.delay, every=a.every
     ).awaitTermination()
 
 
@@ -86,22 +88,27 @@ def parser() -> argparse.ArgumentParser:
         )
         return sub
 
-    job("popular-listings", _popular, "listings", "reviews", "output").add_argument(
+    def csv_job(name: str, run: Callable, *required: str) -> argparse.ArgumentParser:
+        sub = job(name, run, *required)
+        sub.add_argument("--single_line", action="store_true", help="no field holds a newline: split large files")
+        return sub
+
+    csv_job("popular-listings", _popular, "listings", "reviews", "output").add_argument(
         "--no-header", action="store_true"
     )
-    job("bookings-per-listing", _bookings, "listings_file", "bookings_file", "output_path")
+    csv_job("bookings-per-listing", _bookings, "listings_file", "bookings_file", "output_path")
     database("bookings-from-database", _bookings_db, "listings_root", "output_path", "start", "end")
-    job("review-scores", _scores, "customer_reviews", "output_path")
+    csv_job("review-scores", _scores, "customer_reviews", "output_path")
     database("review-scores-from-database", _scores_db, "output_path", "start", "end")
     job("quality-report", _quality, "bookings", "output_path")
-    job("page-visits", _visits, "visits")
+    job("page-visits", _visits, "visits", "output_path")
     database("extract-orders", _extract, "raw_root", "day").add_argument(
-        "--limit", type=int, default=100, help="0 extracts everything"
+        "--limit", type=int, help="extract only the first rows"
     )
     transform = job("transform-orders", _transform, "input_path", "output_path")
     transform.add_argument("--no-currency", action="store_true")
     transform.add_argument("--overwrite", choices=["static", "dynamic"], default="static")
-    stream = job("stream-bookings", _stream, "bookings_root", "listings", "log", "checkpoint")
+    stream = job("stream-bookings", _stream, "bookings_root", "listings_root", "log", "checkpoint")
     stream.add_argument("--delay", default="1 hour")
     stream.add_argument("--every", help="trigger interval; without it, stop at the end of input")
     return top

@@ -8,7 +8,13 @@ from lodgeflow.operators.positions import row_positions
 from lodgeflow.operators.quality import anomaly_counts, row_anomalies
 from lodgeflow.operators.scores import avg_page_visits, avg_review_score
 from lodgeflow.operators.snapshots import snapshot_bookings
-from lodgeflow.operators.windows import in_range, rows_in_range, sliding_mean, tumbling_count
+from lodgeflow.operators.windows import (
+    in_range,
+    means_of_partials,
+    rows_in_range,
+    sliding_mean,
+    tumbling_count,
+)
 
 __all__ = [
     "anomaly_counts",
@@ -17,6 +23,7 @@ __all__ = [
     "bookings_per_listing",
     "clean_order_lines",
     "in_range",
+    "means_of_partials",
     "order_lines_extract",
     "reviews_per_listing",
     "row_anomalies",

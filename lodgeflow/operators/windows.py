@@ -55,17 +55,23 @@ def sliding_mean(
     block before the second shuffle: a full block of 60 minutes sends 119 rows
     instead of 3,600.
     """
-    steps, rest = divmod(minutes, slide)
-    if rest:
-        raise ValueError("minutes must be a multiple of slide")
-    step = F.make_dt_interval(mins=F.lit(slide))
-    reach = F.make_dt_interval(mins=F.lit((steps - 1) * slide))
-
     partials = (
         rows.groupBy(F.window(ts, f"{slide} minutes").alias("_step"), *keys)
         .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
         .select(F.col("_step.start").alias("_start"), *keys, "_sum", "_n")
     )
+    return means_of_partials(partials, keys, name, minutes=minutes, slide=slide)
+
+
+def means_of_partials(
+    partials: DataFrame, keys: list[str], name: str, *, minutes: int = 60, slide: int = 1
+) -> DataFrame:
+    """Sliding means from one (``_start``, ``keys``, ``_sum``, ``_n``) per slide step and key."""
+    steps, rest = divmod(minutes, slide)
+    if rest:
+        raise ValueError("minutes must be a multiple of slide")
+    step = F.make_dt_interval(mins=F.lit(slide))
+    reach = F.make_dt_interval(mins=F.lit((steps - 1) * slide))
     blocks = partials.withColumn(
         "_block", F.window("_start", f"{minutes} minutes").getField("start")
     ).repartition(*keys, "_block")

@@ -11,35 +11,62 @@ from pyspark.sql.types import StructType
 
 from lodgeflow import operators, schemas, sinks, sources, streaming
 from lodgeflow.functions import to_score
+from lodgeflow.session import scratch_dir
+
+
+def _read(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
+    rows = sources.read_csv(spark, path, schema, multi_line=multi_line, **sources.FOREIGN)
+    return sources.spread(rows, path)
 
 
 def popular_listings(
-    spark: SparkSession, listings: str, reviews: str, output: str, *, header: bool = True
+    spark: SparkSession,
+    listings: str,
+    reviews: str,
+    output: str,
+    *,
+    header: bool = True,
+    multi_line: bool = True,
 ) -> None:
     """Review count per listing, most reviewed first, to new CSV files.
 
     ``listings`` and ``reviews`` are CSV or gzip CSV files or folders.
+    ``multi_line=False`` lets Spark split files whose fields hold no newline.
     """
+    named = StructType([schemas.LISTINGS["id"], schemas.LISTINGS["name"]])
     ranked = operators.reviews_per_listing(
-        sources.read_csv(spark, listings, StructType([schemas.LISTINGS["id"], schemas.LISTINGS["name"]])),
-        sources.read_csv(spark, reviews, schemas.REVIEWS),
+        _read(spark, listings, named, multi_line), _read(spark, reviews, schemas.REVIEWS, multi_line)
     )
     sinks.write_csv(ranked, output, header=header)
 
 
 def bookings_report(
-    spark: SparkSession, listings_file: str, bookings_file: str, output_path: str
+    spark: SparkSession,
+    listings_file: str,
+    bookings_file: str,
+    output_path: str,
+    *,
+    multi_line: bool = True,
 ) -> None:
-    """Booking count per listing, name and price, replacing the CSV at ``output_path``."""
+    """Booking count per listing, name and price, replacing the CSV at ``output_path``.
+
+    ``multi_line`` concerns the listings; bookings hold no newlines.
+    """
     counts = operators.bookings_per_listing(
-        sources.read_csv(spark, listings_file, schemas.LISTINGS),
-        sources.read_csv(spark, bookings_file, schemas.BOOKINGS),
+        _read(spark, listings_file, schemas.LISTINGS, multi_line),
+        _read(spark, bookings_file, schemas.BOOKINGS, False),
     )
     sinks.write_csv(counts, output_path, mode="overwrite")
 
 
 def _listing_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    return sources.read_dated(spark, root, schemas.LISTINGS, partition="snapshot_month")
+    return sources.read_dated(
+        spark, root, schemas.LISTINGS, partition="snapshot_month", **sources.FOREIGN
+    )
+
+
+def _minute(text: str) -> str:
+    return str(datetime.fromisoformat(text).replace(second=0, microsecond=0))
 
 
 def bookings_from_database(
@@ -53,12 +80,12 @@ def bookings_from_database(
     table: str = "bookings",
     **options: str,
 ) -> None:
-    """Booking count per minute and listing for all bookings in ``[start, end)``.
+    """Booking count per minute and listing for all bookings in ``[start, end)``, both cut to the minute.
 
     One job covers any number of minutes. Each booking meets the listings of
     its own month, from ``listings_root/snapshot_month=<yyyy-MM>/``.
     """
-    span = sources.RangeRead("booking_time", start, end, options=options)
+    span = sources.RangeRead("booking_time", _minute(start), _minute(end), options=options)
     bookings = sources.read_jdbc_range(spark, url, table, schemas.BOOKINGS.fieldNames(), span)
     counts = operators.snapshot_bookings(
         _listing_snapshots(spark, listings_root), bookings, by="minute"
@@ -66,9 +93,11 @@ def bookings_from_database(
     sinks.write_csv(counts, output_path, mode="overwrite")
 
 
-def review_scores(spark: SparkSession, customer_reviews: str, output_path: str) -> None:
+def review_scores(
+    spark: SparkSession, customer_reviews: str, output_path: str, *, multi_line: bool = True
+) -> None:
     """Mean score per listing from a reviews CSV, replacing the CSV at ``output_path``."""
-    reviews = sources.read_csv(spark, customer_reviews)
+    reviews = _read(spark, customer_reviews, None, multi_line)
     sinks.write_csv(operators.avg_review_score(reviews), output_path, mode="overwrite")
 
 
@@ -82,7 +111,8 @@ def review_scores_from_database(
     table: str = "customer_reviews",
     **options: str,
 ) -> None:
-    """Mean score per listing for every one-hour window starting in ``[start, end)``."""
+    """Mean score per listing for every one-hour window starting in ``[start, end)``, cut to the minute."""
+    start, end = _minute(start), _minute(end)
     read_end = str(datetime.fromisoformat(end) + timedelta(hours=1))
     span = sources.RangeRead("review_date", start, read_end, options=options)
     reviews = sources.read_jdbc_range(
@@ -105,7 +135,7 @@ def hourly_scores(reviews: DataFrame, start: str, end: str) -> DataFrame:
 def stream_bookings(
     spark: SparkSession,
     bookings_root: str,
-    listings: str,
+    listings_root: str,
     log: str,
     checkpoint: str,
     *,
@@ -113,8 +143,10 @@ def stream_bookings(
     every: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Booking count per minute and listing as booking CSV files arrive.
+    """Booking count per minute and listing as booking CSV files arrive, in folders of any depth.
 
+    Each minute meets the listings of its month. Those are read from
+    ``listings_root/snapshot_month=<yyyy-MM>/`` and landed once as Parquet.
     The counts go to a log of updates; read it with
     :func:`lodgeflow.streaming.latest_counts`.
     """
@@ -124,6 +156,7 @@ def stream_bookings(
     counts = streaming.windowed_counts(
         arriving, "booking_time", ["listing_id"], "booking_id", "booking_count", delay=delay
     )
-    static = sources.read_csv(spark, listings, schemas.LISTINGS)
-    joined = streaming.join_listings(counts, static, ["name", "price"], "booking_count")
+    landed = scratch_dir(spark, "listings")
+    sinks.write_table(_listing_snapshots(spark, listings_root), landed)
+    joined = streaming.join_snapshots(counts, sources.read_table(spark, landed), "booking_count")
     return streaming.write_updates(joined, log, checkpoint, every=every)

@@ -3,29 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodgeflow import operators, schemas, sinks, sources
-from lodgeflow.functions import booking_rules
+from lodgeflow.functions import anomaly_messages, booking_rules
+from lodgeflow.session import scratch_dir
 
 
 def quality_report(
     spark: SparkSession, bookings: str, output_path: str, *, mode: str = "overwrite"
 ) -> DataFrame:
-    """Write the anomalies of all booking batches; return the count per batch.
+    """Write the anomalies of all booking batches and their number per batch; return the latter.
 
     ``bookings`` is a glob of JSON array files, one per minute, for example
-    ``root/*/bookings.json``. The output holds one JSON object per bad row, in
-    a directory per ``batch_minute``.
+    ``root/*/bookings.json``. ``output_path/anomalies`` holds one JSON object
+    per bad row, in a directory per day, ``output_path/counts`` one per batch.
+    The files are read once, so both agree while more arrive.
     """
     rows = sources.read_json_batches(spark, bookings, schemas.DIRTY_BOOKINGS)
-    rules = booking_rules(rows)
+    checked = rows.select("batch_minute", "row_index", anomaly_messages(booking_rules(rows)).alias("anomalies"))
+    landed = scratch_dir(spark, "checked")
+    sinks.write_table(checked, landed)
+    checked = sources.read_table(spark, landed)
+    bad = checked.where(F.size("anomalies") > 0).withColumn("day", F.to_date("batch_minute"))
     sinks.write_json(
-        operators.row_anomalies(rows, rules), output_path, mode=mode, partition_by=["batch_minute"]
+        bad.hint("rebalance", F.col("day")), f"{output_path}/anomalies", mode=mode, partition_by=["day"]
     )
-    return operators.anomaly_counts(rows, rules)
+    counts = checked.groupBy("batch_minute").agg(F.count_if(F.size("anomalies") > 0).alias("num_anomalies"))
+    sinks.write_json(counts, f"{output_path}/counts", mode=mode)
+    return counts
 
 
-def page_visits_report(spark: SparkSession, visits: str) -> DataFrame:
-    """Mean page visits per minute batch of a glob of JSON array files."""
+def page_visits_report(
+    spark: SparkSession, visits: str, output_path: str, *, mode: str = "overwrite"
+) -> DataFrame:
+    """Write and return the mean page visits per minute batch of a glob of JSON array files."""
     rows = sources.read_json_rows(spark, visits, schemas.PAGE_VISITS)
-    return operators.avg_page_visits(rows, "batch_minute")
+    means = operators.avg_page_visits(rows, "batch_minute")
+    sinks.write_json(means, output_path, mode=mode)
+    return means

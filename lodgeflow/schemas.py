@@ -59,6 +59,10 @@ ORDER_LINES = _struct(
     unit_price=StringType,
 )
 
+PRICED_ORDER_LINES = StructType([
+    StructField(f.name, DoubleType()) if f.name == "unit_price" else f for f in ORDER_LINES.fields
+])
+
 ANOMALIES = StructType([
     StructField("batch_minute", TimestampNTZType()),
     StructField("row_index", LongType()),

@@ -1,4 +1,5 @@
 from lodgeflow.sources.files import (
+    FOREIGN,
     MICROS,
     read_csv,
     read_dated,
@@ -6,6 +7,7 @@ from lodgeflow.sources.files import (
     read_json_rows,
     read_minute_csv,
     read_table,
+    spread,
 )
 from lodgeflow.sources.jdbc import (
     RangeRead,
@@ -15,6 +17,7 @@ from lodgeflow.sources.jdbc import (
 )
 
 __all__ = [
+    "FOREIGN",
     "MICROS",
     "RangeRead",
     "read_csv",
@@ -26,4 +29,5 @@ __all__ = [
     "read_json_rows",
     "read_minute_csv",
     "read_table",
+    "spread",
 ]

@@ -1,22 +1,28 @@
 from lodgeflow.streaming.minutes import (
+    LateRows,
     as_event_time,
     file_stream,
+    hourly_scores,
     join_listings,
-    late_rows,
+    join_snapshots,
     latest_counts,
-    sliding_scores,
+    minute_scores,
+    newest,
     windowed_counts,
     write_closed,
     write_updates,
 )
 
 __all__ = [
+    "LateRows",
     "as_event_time",
     "file_stream",
+    "hourly_scores",
     "join_listings",
-    "late_rows",
+    "join_snapshots",
     "latest_counts",
-    "sliding_scores",
+    "minute_scores",
+    "newest",
     "windowed_counts",
     "write_closed",
     "write_updates",

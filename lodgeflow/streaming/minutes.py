@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from lodgeflow.functions.cleaning import to_score
+from lodgeflow.functions.timestamps import month_stamp
 from lodgeflow.operators.popularity import join_copies
+from lodgeflow.operators.windows import means_of_partials
 from lodgeflow.sources.files import QUOTED
 
 
@@ -23,21 +25,24 @@ def file_stream(
     fmt: str = "parquet",
     *,
     max_files: int | None = None,
+    only: str | None = None,
     **options,
 ) -> DataFrame:
     """Rows of the files that arrive under ``path``, each file once.
 
-    ``max_files`` bounds a micro-batch. CSV is read with a header and quoted,
-    multi-line fields, with ``schema`` in the files' column order.
+    CSV and JSON files may arrive in folders of any depth, such as one per
+    minute. ``only`` is a glob of file names to take. ``max_files`` bounds a
+    micro-batch. CSV is read with a header and quoted fields, which may hold
+    newlines with ``multiLine=True``, with ``schema`` in the files' column order.
     """
     if fmt == "csv":
-        options = {**QUOTED, "header": True, "multiLine": True, "enforceSchema": False, **options}
+        options = {**QUOTED, "header": True, "enforceSchema": False, **options}
+    if fmt in ("csv", "json"):
+        options = {"recursiveFileLookup": True, **options}
     if max_files:
         options["maxFilesPerTrigger"] = max_files
-    # A path that names a single file is a glob that matches it.
-    head, _, tail = path.rstrip("/").rpartition("/")
-    if tail.endswith(f".{fmt}"):
-        path = f"{head}/{{{tail}}}"
+    if only:
+        options["pathGlobFilter"] = only
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
@@ -69,34 +74,29 @@ def windowed_counts(
     )
 
 
-def sliding_scores(
+def minute_scores(
     rows: DataFrame, ts: str, listing: str, score: Column, *, delay: str = "1 hour"
 ) -> DataFrame:
-    """Mean score per listing over one-hour windows that start every minute.
+    """Sum and number of the scores of each listing and minute.
 
-    Two chained aggregations: minutes first, then hours over the minutes'
-    sums, so state expands per minute and listing and not per row. Chained
-    aggregations run in append mode only: a window is emitted once closed.
+    One row of state per open minute and listing. Write it as updates;
+    :func:`hourly_scores` forms the one-hour windows from the log, complete up
+    to the newest minute at any time.
     """
-    per_minute = (
+    score = to_score(score)
+    return (
         as_event_time(rows, ts, delay)
         .groupBy(F.window(ts, "1 minute").alias("_minute"), F.col(listing).alias("listing_id"))
-        .agg(F.sum(to_score(score)).alias("_sum"), F.count(to_score(score)).alias("_n"))
-    )
-    return (
-        per_minute.groupBy(
-            F.window(F.window_time("_minute"), "60 minutes", "1 minute").alias("_window"),
-            "listing_id",
-        )
-        .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_review_score"))
-        .select(
-            F.col("_window.start").cast("timestamp_ntz").alias("window_start"),
-            "listing_id",
-            "avg_review_score",
-        )
+        .agg(F.sum(score).alias("_sum"), F.count(score).alias("_n"))
+        .select(F.col("_minute.start").cast("timestamp_ntz").alias("_start"), "listing_id", "_sum", "_n")
     )
 
 
+def hourly_scores(spark: SparkSession, log: str) -> DataFrame:
+    """Mean score per listing over one-hour windows that start every minute, from the log of minutes."""
+    return means_of_partials(newest(spark, log, ["_sum", "_n"]), ["listing_id"], "avg_review_score")
+
+
 def join_listings(
     counts: DataFrame, listings: DataFrame, attributes: list[str], count_name: str
 ) -> DataFrame:
@@ -115,6 +115,22 @@ def join_listings(
     ).select(*keys, *attributes, count_name)
 
 
+def join_snapshots(counts: DataFrame, snapshots: DataFrame, count_name: str) -> DataFrame:
+    """Join streamed counts per minute and ``listing_id`` with the listings of each minute's month.
+
+    ``snapshots`` holds ``id, name, price, snapshot_month``; months without one
+    contribute nothing.
+    """
+    keys = [c for c in counts.columns if c != count_name]
+    return join_copies(
+        snapshots.withColumnRenamed("id", "listing_id"),
+        counts.withColumn("snapshot_month", month_stamp(F.col("window_start"))),
+        ["listing_id", "snapshot_month"],
+        ["name", "price"],
+        count_name,
+    ).select(*keys, "name", "price", count_name)
+
+
 def _started(writer, checkpoint: str, every: str | None) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -126,21 +142,30 @@ def write_updates(
     """Keep a log of changed counts under ``path``, one directory per micro-batch.
 
     A repeated micro-batch replaces its own directory, so a retry after a
-    failure leaves no duplicates. :func:`latest_counts` reads the log. Without
-    ``every`` the query stops once it has seen all present files.
+    failure leaves no duplicates. :func:`latest_counts` reads the log, also
+    before anything has arrived. Without ``every`` the query stops once it has
+    seen all present files.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    empty = counts.sparkSession.createDataFrame([], counts.schema)
+    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
     return _started(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
 
 
+def newest(spark: SparkSession, path: str, values: list[str]) -> DataFrame:
+    """The newest ``values`` of each combination of the other columns in a log."""
+    log = spark.read.parquet(path)
+    keys = [c for c in log.columns if c not in (*values, "batch_id")]
+    last = F.max_by(F.struct(*values), "batch_id").alias("_last")
+    return log.groupBy(*keys).agg(last).select(*keys, "_last.*")
+
+
 def latest_counts(spark: SparkSession, path: str, count_name: str) -> DataFrame:
     """The newest count of each window and key in a log of :func:`write_updates`."""
-    log = spark.read.parquet(path)
-    keys = [c for c in log.columns if c not in (count_name, "batch_id")]
-    return log.groupBy(*keys).agg(F.max_by(count_name, "batch_id").alias(count_name))
+    return newest(spark, path, [count_name])
 
 
 def write_closed(
@@ -155,10 +180,20 @@ def write_closed(
     return _started(writer, checkpoint, every)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late, over the recent micro-batches."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that queries drop as late: ``spark.streams.addListener(LateRows())``."""
+
+    def __init__(self) -> None:
+        self.total = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.total += sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
