@@ -71,6 +71,10 @@ def per_row(function: Callable, kind: str) -> Callable[..., Column]:
     arrow = to_arrow_type(parsed)
 
     def apply(*columns: pa.Array) -> pa.Array:
-        return pa.array([function(*row) for row in zip(*(c.to_pylist() for c in columns))], arrow)
+        parts = []
+        for start in range(0, len(columns[0]), 256):  # few texts at a time are Python objects
+            rows = zip(*(c.slice(start, 256).to_pylist() for c in columns))
+            parts.append(pa.array([function(*row) for row in rows], arrow))
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
 
     return F.arrow_udf(apply, returnType=parsed).asNondeterministic()
