@@ -24,7 +24,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import fresh, landed, map_rows, per_row, utf8
@@ -192,11 +192,13 @@ def representatives(docs: DataFrame, distance: int = 3, words_per_shingle: int =
     """
     found = near_duplicates(docs, distance, words_per_shingle)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("first")
-    fp = fresh(docs, "_fp")
-    kept = found.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.fp").alias("_print"))
-    printed = docs.withColumn(
-        fp, per_row(lambda t: _signed(fingerprint(t, words_per_shingle)), "bigint")(utf8("text"))
-    )
-    # A semi join on a hash of id and fingerprint; repeated rows meet in the same partition.
-    match = printed.doc_id.eqNullSafe(kept._id) & (printed[fp] == kept._print)
-    return printed.join(kept, match, "left_semi").dropDuplicates(["doc_id", fp]).select(*docs.columns)
+    key = [fresh(docs, name) for name in ("_id", "_no_id", "_fp")]
+
+    def keyed(doc_id: Column, fp: Column) -> list[Column]:
+        return [c.alias(k) for c, k in zip((F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), fp), key)]
+
+    kept = found.groupBy("root").agg(first).select(*keyed(F.col("first.doc_id"), F.col("first.fp")))
+    fp = per_row(lambda t: _signed(fingerprint(t, words_per_shingle)), "bigint")(utf8("text"))
+    printed = docs.select("*", *keyed(F.col("doc_id"), fp))
+    # Repeated rows meet in the partitions of the join; the texts are shuffled once.
+    return printed.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
