@@ -1,0 +1,95 @@
+"""Arrival in folders, several micro-batches, late rows and restarts."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgeflow import operators, plans, schemas, sources, streaming
+
+HEADER = "booking_id,listing_id,user_id,booking_time,status\n"
+
+
+def _arrive(root, minute, *rows):
+    folder = root / f"2025-01-31_{minute}"
+    folder.mkdir(parents=True)
+    (folder / "bookings.csv").write_text(HEADER + "".join(f"{b},{l},1,{t},confirmed\n" for b, l, t in rows))
+
+
+def _counts(spark, root, **options):
+    rows = streaming.file_stream(spark, str(root), schemas.BOOKINGS, "csv", **options)
+    return streaming.windowed_counts(rows, "booking_time", ["listing_id"], "booking_id", "n", delay="10 minutes")
+
+
+def _run(spark, root, tmp_path, **options):
+    streaming.write_updates(_counts(spark, root, **options), f"{tmp_path}/log", f"{tmp_path}/cp").awaitTermination()
+    return sorted(map(tuple, streaming.latest_counts(spark, f"{tmp_path}/log", "n").collect()))
+
+
+def test_minute_folders_and_a_restart(spark, tmp_path):
+    root = tmp_path / "in"
+    _arrive(root, "0930", (1, 7, "2025-01-31 09:30:05"), (2, 7, "2025-01-31 09:30:50"))
+    _arrive(root, "0931", (3, 7, "2025-01-31 09:31:00"), (4, 8, "2025-01-31 09:30:59"))
+    first, second = datetime(2025, 1, 31, 9, 30), datetime(2025, 1, 31, 9, 31)
+    assert _run(spark, root, tmp_path, max_files=1) == [(first, 7, 2), (first, 8, 1), (second, 7, 1)]
+    _arrive(root, "0932", (5, 7, "2025-01-31 09:30:30"))
+    assert _run(spark, root, tmp_path) == [(first, 7, 3), (first, 8, 1), (second, 7, 1)]
+
+
+def test_an_empty_root_gives_an_empty_log(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert _run(spark, tmp_path / "in", tmp_path) == []
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    late = streaming.LateRows()
+    spark.streams.addListener(late)
+    try:
+        root = tmp_path / "in"
+        _arrive(root, "0930", (1, 7, "2025-01-31 12:00:00"))
+        _run(spark, root, tmp_path)
+        _arrive(root, "0931", (2, 7, "2025-01-31 09:00:00"), (3, 7, "2025-01-31 11:59:00"))
+        _run(spark, root, tmp_path)
+        rows = _run(spark, root, tmp_path)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(late)
+    assert [n for *_, n in rows] == [1, 1]
+    assert late.total == 1
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_hours_are_complete(spark, tmp_path, max_files):
+    """A half-hour of input has all its windows, as in batch."""
+    rows = spark.range(90).selectExpr(
+        "id", "timestamp_ntz'2025-01-01 10:00:00' + make_dt_interval(0, 0, 0, id * 20) AS at",
+        "id % 3 AS listing", "cast(id % 5 AS double) AS score",
+    )
+    rows.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = streaming.file_stream(spark, f"{tmp_path}/in", rows.schema, max_files=max_files)
+    minutes = streaming.minute_scores(stream, "at", "listing", F.col("score"), delay="2 hours")
+    streaming.write_updates(minutes, f"{tmp_path}/log", f"{tmp_path}/cp").awaitTermination()
+    got = streaming.hourly_scores(spark, f"{tmp_path}/log")
+    want = operators.sliding_mean(rows, "at", ["listing"], F.col("score"), "m")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 89 * 3
+
+
+def test_each_minute_meets_its_month(spark, tmp_path):
+    for month, price in (("2025-01", "$1"), ("2025-02", "$2")):
+        folder = tmp_path / "listings" / f"snapshot_month={month}"
+        folder.mkdir(parents=True)
+        (folder / "l.csv").write_text(f"id,name,price\n7,A,{price}\n")
+    _arrive(tmp_path / "in", "2359", (1, 7, "2025-01-31 23:59:00"), (2, 7, "2025-02-01 00:00:00"), (3, 7, "2025-03-01 00:00:00"))
+    log = f"{tmp_path}/log"
+    plans.stream_bookings(spark, f"{tmp_path}/in", f"{tmp_path}/listings", log, f"{tmp_path}/cp").awaitTermination()
+    rows = streaming.latest_counts(spark, log, "booking_count").select("window_start", "price", "booking_count").collect()
+    assert sorted(map(tuple, rows)) == [(datetime(2025, 1, 31, 23, 59), "$1", 1), (datetime(2025, 2, 1), "$2", 1)]
+
+
+def test_only_named_files(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    (file,) = [p for p in (tmp_path / "a").glob("part-*") if p.stat().st_size > 400][:1]
+    stream = streaming.file_stream(spark, f"{tmp_path}/a", sources.read_table(spark, f"{tmp_path}/a").schema, only=file.name)
+    streaming.write_closed(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == spark.read.parquet(str(file)).count()
