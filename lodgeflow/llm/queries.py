@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, suffix_dedup, warc
+from lodgeflow.llm.oracles import ORACLES  # noqa: F401
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
 
@@ -131,4 +132,3 @@ QUERIES = {
     "op9_html": op9_html,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {}
