@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -29,17 +30,68 @@ def brute(docs, length=100):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("direct, crowd, chunk", [(4096, 200_000, 1 << 20), (1, 200_000, 1 << 20), (3, 5, 1000)])
-def test_query_equals_brute_force(spark, rows, monkeypatch, direct, crowd, chunk):
-    """Also with minimizers that go window by window, and texts in small pieces."""
-    for name, value in {"DIRECT": direct, "CROWD": crowd, "CHUNK": chunk}.items():
-        monkeypatch.setattr(suffix_dedup, name, value)
+def test_query_equals_brute_force(spark, rows):
     t = pq.read_table(f"{SF}/documents.parquet").to_pydict()
     want = brute(list(zip(t["doc_id"], t["text"])))
     assert rows(queries.op1_suffix(spark, SF)) == want
     assert any(r[2] for r in want)
 
 
+def in_process(docs):
+    """The steps of the operator with lists and sorts in the place of Spark's tables and shuffles."""
+    table = pa.RecordBatch.from_arrays(
+        [pa.array([d for d, _ in docs], pa.int64()), pa.array([0] * len(docs), pa.int32()),
+         pa.array([t.encode() for _, t in docs], pa.binary())], ["doc", "th", "text"],
+    )
+    parts = [table.slice(k, 7) for k in range(0, len(docs), 7)]
+    cut = pa.Table.from_batches(suffix_dedup._cut(iter(parts)))
+    cut = cut.sort_by([(c, "ascending") for c in ("p", "seg", "doc", "th", "a")])
+    met = [r for b in suffix_dedup._met(iter(cut.to_batches(max_chunksize=9))) for r in b.to_pylist()]
+    marks = [(r["doc"], r["a"], r["b"]) for r in met if r["kind"] == suffix_dedup.MARKED]
+    wanted = {}
+    for r in met:
+        if r["kind"] != suffix_dedup.MARKED:
+            wanted.setdefault(r["doc"], []).append({k: r[k] for k in ("p", "a", "b", "kind")})
+    asked = pa.RecordBatch.from_pylist(
+        [{"doc": d, "th": 0, "text": t.encode(), "wanted": wanted[d]} for d, t in docs if d in wanted]
+    )
+    fetched = [r for b in suffix_dedup._fetched(iter([asked])) for r in b.to_pylist()]
+    segments = sorted((r for r in fetched if r["kind"] == suffix_dedup.SORT), key=lambda r: r["p"])
+    if segments:
+        for b in suffix_dedup._compared(iter([pa.RecordBatch.from_pylist(segments)])):
+            marks += [(r["doc"], r["a"], r["b"]) for r in b.to_pylist()]
+    windows = [r for r in fetched if r["kind"] == suffix_dedup.WINDOWS]
+    first = {}
+    for r in windows:
+        key = r["p"], r["seg"]
+        first[key] = min(first.get(key, (r["doc"], r["a"])), (r["doc"], r["a"]))
+    marks += [(r["doc"], r["a"], r["a"]) for r in windows if (r["doc"], r["a"]) > first[r["p"], r["seg"]]]
+    out = []
+    for doc, text in docs:
+        rest, runs = suffix_dedup.removed(text.encode(), [{"a": a, "b": b} for d, a, b in marks if d == doc])
+        n = len(text.encode())
+        out.append((doc, n, n - len(rest), len(runs), hashlib.sha256(rest).hexdigest()))
+    return sorted(out, key=repr), len(segments), len(windows)
+
+
+@pytest.mark.parametrize(
+    "direct, crowd, chunk, collection",
+    [(4096, 200_000, 1 << 20, 1024), (4096, 200_000, 997, 3), (2, 200_000, 1 << 20, 5), (3, 4, 1000, 1)],
+)
+def test_crowded_minimizers_and_pieces(monkeypatch, direct, crowd, chunk, collection):
+    """Minimizers that go window by window, texts in small pieces, collections of few segments."""
+    for name, value in {"DIRECT": direct, "CROWD": crowd, "CHUNK": chunk, "COLLECTION": collection}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    block = [noise(rng.randrange(90, 400)) for _ in range(4)]
+    texts = [noise(rng.randrange(50)) + rng.choice(block) + noise(rng.randrange(200)) + rng.choice(block) for _ in range(60)]
+    docs = list(enumerate(texts + texts[:5] + ["", "x" * 3000, noise(5000)]))
+    found, n_segments, n_windows = in_process(docs)
+    assert found == brute(docs)
+    assert n_windows if direct < 10 else n_segments
+
+
 def got(df):
     return sorted(
         ((r.doc_id, r.n_bytes, r.n_bytes - len(r.rest), len(r.runs), hashlib.sha256(bytes(r.rest)).hexdigest()) for r in df.collect()),
