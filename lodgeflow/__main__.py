@@ -28,6 +28,10 @@ def _bookings_db(spark: SparkSession, a: argparse.Namespace) -> None:
     )
 
 
+def _bookings_files(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.bookings_from_minute_files(spark, a.bookings, a.listings_root, a.output_path)
+
+
 def _scores(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.review_scores(spark, a.customer_reviews, a.output_path, multi_line=not a.single_line)
 
@@ -97,6 +101,7 @@ def parser() -> argparse.ArgumentParser:
         "--no-header", action="store_true"
     )
     csv_job("bookings-per-listing", _bookings, "listings_file", "bookings_file", "output_path")
+    job("bookings-from-minute-files", _bookings_files, "bookings", "listings_root", "output_path")
     database("bookings-from-database", _bookings_db, "listings_root", "output_path", "start", "end")
     csv_job("review-scores", _scores, "customer_reviews", "output_path")
     database("review-scores-from-database", _scores_db, "output_path", "start", "end")

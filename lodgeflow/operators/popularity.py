@@ -18,7 +18,9 @@ def join_copies(
     the count is multiplied by it. Facts and listings are thus both aggregated
     before they meet, so a listing that holds a large share of the facts, or a
     group of copies that holds a large share of the listings, shrinks inside
-    each map task and never travels whole.
+    each map task and never travels whole. The copies are shuffled once more
+    for the join; grouping within a shuffle by ``on`` alone would save that,
+    but send all copies of a listing to one task unreduced.
     """
     copies = listings.groupBy(*on, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.join(counts, on).withColumn(count_name, F.col(count_name) * F.col("_copies"))

@@ -28,7 +28,10 @@ def rows_in_range(rows: DataFrame, ts: str, start: str, minutes: int = 1) -> Dat
 def tumbling_count(
     rows: DataFrame, ts: str, keys: list[str], counted: str, name: str, length: str = "1 minute"
 ) -> DataFrame:
-    """``window_start``, ``keys`` and the count of non-null ``counted`` per window."""
+    """``window_start``, ``keys`` and the count of non-null ``counted`` per window.
+
+    A row without a time, as after text that is no time, lies in no window.
+    """
     return (
         rows.groupBy(F.window(ts, length).alias("_window"), *keys)
         .agg(F.count(counted).alias(name))

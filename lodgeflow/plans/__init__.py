@@ -3,6 +3,7 @@
 from lodgeflow.plans.extracts import extract_order_lines, transform_orders
 from lodgeflow.plans.marketplace import (
     bookings_from_database,
+    bookings_from_minute_files,
     bookings_report,
     popular_listings,
     review_scores,
@@ -13,6 +14,7 @@ from lodgeflow.plans.quality import page_visits_report, quality_report
 
 __all__ = [
     "bookings_from_database",
+    "bookings_from_minute_files",
     "bookings_report",
     "extract_order_lines",
     "page_visits_report",

@@ -69,6 +69,25 @@ def _minute(text: str) -> str:
     return str(datetime.fromisoformat(text).replace(second=0, microsecond=0))
 
 
+def bookings_from_minute_files(
+    spark: SparkSession, bookings: str, listings_root: str, output_path: str
+) -> None:
+    """Booking count per minute file and listing, replacing the CSV at ``output_path``.
+
+    ``bookings`` is a glob of files named after their minute, for example
+    ``root/*/bookings.csv``; the minute of the name counts, as one run per file
+    would have it. Each minute meets the listings of its month, from
+    ``listings_root/snapshot_month=<yyyy-MM>/``.
+    """
+    rows = sources.read_minute_csv(
+        spark, bookings, schemas.BOOKINGS, multi_line=False, **sources.FOREIGN
+    )
+    counts = operators.snapshot_bookings(
+        _listing_snapshots(spark, listings_root), rows, by="minute", time="batch_minute"
+    )
+    sinks.write_csv(counts, output_path, mode="overwrite")
+
+
 def bookings_from_database(
     spark: SparkSession,
     url: str,

@@ -44,6 +44,17 @@ def test_bookings_report(spark, tmp_path):
     ]
 
 
+def test_minute_files_meet_their_month(spark, tmp_path):
+    for month, price in (("2025-01", "$1"), ("2025-02", "$2")):
+        _write(tmp_path / "l" / f"snapshot_month={month}" / "l.csv", f"id,name,price\n1,A,{price}\n2,B,{price}\n")
+    for minute in ("2025-01-31_2359", "2025-02-01_0000", "2025-03-01_0000"):
+        _write(tmp_path / "b" / minute / "bookings.csv", BOOKINGS)
+    plans.bookings_from_minute_files(spark, f"{tmp_path}/b/*/bookings.csv", f"{tmp_path}/l", f"{tmp_path}/out")
+    assert sorted(x.split(",", 1)[1] for x in _text(f"{tmp_path}/out").splitlines()) == [
+        "1,A,$1,5", "1,A,$2,5", "2,B,$1,5", "2,B,$2,5",
+    ]
+
+
 def test_review_scores(spark, tmp_path):
     reviews = _write(tmp_path / "r.csv", 'listing_id,review_score,review_comment\n1,4,"a\nb"\n1,5,c\n2,bad,d\n')
     plans.review_scores(spark, reviews, f"{tmp_path}/out")
