@@ -1,6 +1,7 @@
 from lodgeflow.streaming.minutes import (
     LateRows,
     as_event_time,
+    compact,
     file_stream,
     hourly_scores,
     join_listings,
@@ -16,6 +17,7 @@ from lodgeflow.streaming.minutes import (
 __all__ = [
     "LateRows",
     "as_event_time",
+    "compact",
     "file_stream",
     "hourly_scores",
     "join_listings",

@@ -152,15 +152,46 @@ def write_updates(
 
     empty = counts.sparkSession.createDataFrame([], counts.schema)
     empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    empty.write.mode("overwrite").parquet(f"{path}_snapshots/upto=-1")
     return _started(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
 
 
 def newest(spark: SparkSession, path: str, values: list[str]) -> DataFrame:
-    """The newest ``values`` of each combination of the other columns in a log."""
-    log = spark.read.parquet(path)
-    keys = [c for c in log.columns if c not in (*values, "batch_id")]
+    """The newest ``values`` of each combination of the other columns in a log.
+
+    Reads the last snapshot and the batches after it.
+    """
+    return _newest(*_since_snapshot(spark, path), values)
+
+
+def compact(spark: SparkSession, path: str, values: list[str]) -> int:
+    """Write a snapshot of a log up to its last batch but one; return that batch's number.
+
+    The log itself stays, so a running query and other readers are not
+    disturbed; batches up to the snapshot are no longer read.
+    """
+    snapshot, log = _since_snapshot(spark, path)
+    (last,) = log.agg(F.max("batch_id")).first()
+    upto = (last or 0) - 1
+    if upto >= 0:
+        rows = _newest(snapshot, log.where(F.col("batch_id") <= upto), values)
+        rows.write.mode("overwrite").parquet(f"{path}_snapshots/upto={upto}")
+    return upto
+
+
+def _since_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    snapshots, log = spark.read.parquet(f"{path}_snapshots"), spark.read.parquet(path)
+    # From the names alone: no file of the snapshots is read for this.
+    upto = max(int(f.rstrip("/").rpartition("/upto=")[2].split("/")[0]) for f in snapshots.inputFiles())
+    snapshot = snapshots.where(F.col("upto") == upto).withColumnRenamed("upto", "batch_id")
+    return snapshot, log.where(F.col("batch_id") > upto)
+
+
+def _newest(snapshot: DataFrame, log: DataFrame, values: list[str]) -> DataFrame:
+    rows = snapshot.unionByName(log)
+    keys = [c for c in rows.columns if c not in (*values, "batch_id")]
     last = F.max_by(F.struct(*values), "batch_id").alias("_last")
-    return log.groupBy(*keys).agg(last).select(*keys, "_last.*")
+    return rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
 def latest_counts(spark: SparkSession, path: str, count_name: str) -> DataFrame:

@@ -36,6 +36,20 @@ def test_minute_folders_and_a_restart(spark, tmp_path):
     assert _run(spark, root, tmp_path) == [(first, 7, 3), (first, 8, 1), (second, 7, 1)]
 
 
+def test_snapshots_of_the_log_change_no_result(spark, tmp_path):
+    root, log = tmp_path / "in", f"{tmp_path}/log"
+    for k in range(4):
+        _arrive(root, f"093{k}", (k, 7, f"2025-01-31 09:30:0{k}"), (k, k, f"2025-01-31 09:3{k}:00"))
+    before = _run(spark, root, tmp_path, max_files=1)
+    assert streaming.compact(spark, log, ["n"]) == 2
+    assert sorted(map(tuple, streaming.latest_counts(spark, log, "n").collect())) == before
+    _arrive(root, "0935", (9, 7, "2025-01-31 09:30:30"))
+    after = _run(spark, root, tmp_path)
+    assert {r[1:] for r in after} - {r[1:] for r in before} == {(7, 5)}
+    assert streaming.compact(spark, log, ["n"]) > 2
+    assert sorted(map(tuple, streaming.latest_counts(spark, log, "n").collect())) == after
+
+
 def test_an_empty_root_gives_an_empty_log(spark, tmp_path):
     (tmp_path / "in").mkdir()
     assert _run(spark, tmp_path / "in", tmp_path) == []
