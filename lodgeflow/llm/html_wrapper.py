@@ -316,8 +316,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
     counts = (
         distinct.join(reference.where(F.col("n") >= MIN_PAGES), "host")
         .select("host", "n", F.explode(voted).alias("v"))
-        .groupBy("host", "n", "v.node")
+        # A key of its own is dealt anew after the votes are added up, so a large host's join can be split.
+        .groupBy(F.struct("host", "n", "v.node").alias("of"))
         .agg(F.count_if("v.same").alias("same"))
+        .select("of.*", "same")
         .where(F.col("same") >= CONSTANT * F.col("n"))
     )
     template = counts.groupBy("host").agg(F.collect_list("node").alias("template"))
