@@ -179,7 +179,10 @@ def near_duplicates(docs: DataFrame, distance: int = 3, words_per_shingle: int =
     named = nodes.join(joined, nodes.fp == joined.node, "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # Grouped by a key of its own, so that the join on a large component's root can be split.
+    least = named.groupBy(F.struct("root").alias("of")).agg(F.min("least_id").alias("component_id")).select(
+        "of.root", "component_id"
+    )
     return prints.join(named.join(least, "root").select("fp", "component_id", "root"), "fp").select(
         "doc_id", "fp", "component_id", "root"
     )
