@@ -308,15 +308,16 @@ def wrappers(pages: DataFrame) -> DataFrame:
         F.min("page_id").alias("page_id"), F.first("tree").alias("tree")
     )
     distinct = landed(distinct, "distinct-trees")
-    reference = distinct.groupBy("host").agg(
+    # Both groupings have keys of their own: their rows are then dealt anew for the join,
+    # and a large host's part of it can be split.
+    reference = distinct.groupBy(F.struct("host").alias("of")).agg(
         F.min(F.struct(F.col("page_id").isNull(), "page_id", "h", "tree"))["tree"].alias("reference"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ).select("of.host", "reference", "n")
     voted = per_row(votes, "array<struct<node:int, same:boolean>>")("reference", "tree")
     counts = (
         distinct.join(reference.where(F.col("n") >= MIN_PAGES), "host")
         .select("host", "n", F.explode(voted).alias("v"))
-        # A key of its own is dealt anew after the votes are added up, so a large host's join can be split.
         .groupBy(F.struct("host", "n", "v.node").alias("of"))
         .agg(F.count_if("v.same").alias("same"))
         .select("of.*", "same")
