@@ -7,8 +7,11 @@ visits. Every query runs over whole tables.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
 from importlib.util import find_spec
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -507,7 +510,24 @@ def _training_data() -> tuple[dict[str, Callable], dict[str, str]]:
         found["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return found, oracles
+    return {name: _importable(query) for name, query in found.items()}, oracles
+
+
+def _importable(query: Callable) -> Callable:
+    """``query`` with this folder on the path of Python workers, wherever the driver was started.
+
+    A cluster without this folder needs the package installed or sent with ``--py-files``.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parent)
+        paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
