@@ -2,7 +2,8 @@
 
 The pages of a host are aligned with one of them, the host's reference page, by
 simple tree matching: two nodes match if their tag and class agree, and the
-children of matched nodes are aligned in order so that most nodes match. For
+children of matched nodes, however many, are aligned in order so that most nodes
+match; where siblings have the same tag and class, equal ones are paired first. For
 each node of the reference the votes of all pages of the host are counted.
 Nodes whose text is constant are template; varying nodes are slots and hold
 content, unless tag or class names them a menu, header, footer, sidebar, notice,
@@ -27,8 +28,10 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 from html import unescape
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -39,8 +42,8 @@ from lodgeflow.llm.common import landed, per_row
 MIN_PAGES = 3
 CONSTANT = 0.9
 MAX_DEPTH = 100
-#: Child lists with a larger product are aligned from both ends only.
-MAX_CELLS = 40_000
+#: Cells of an alignment's table held at a time; larger child lists are halved until they fit.
+CELLS = 1 << 20
 
 # The block elements, those that never hold main text, and words of class names that say so.
 BLOCKS = frozenset(
@@ -156,12 +159,12 @@ def parsed(html: str) -> Node:
 
 
 class Shape:
-    """A tree for alignment: runs of equal siblings are one node, texts are hashes."""
+    """A tree for alignment: texts are hashes."""
 
-    __slots__ = ("sign", "hash", "nodes", "number", "article", "members")
+    __slots__ = ("sign", "hash", "nodes", "number", "article", "node", "size", "shared", "key", "kind")
 
-    def __init__(self, sign, number, article, members=()):
-        self.sign, self.number, self.article, self.members = sign, number, article, members
+    def __init__(self, sign, number, article, node=None):
+        self.sign, self.number, self.article, self.node = sign, number, article, node
         self.hash, self.nodes = 0, []
 
 
@@ -169,26 +172,16 @@ def shaped(root: Node) -> Shape:
     """The shape of a tree, numbered from above; text comes in through hashes only."""
     numbers = iter(range(1 << 60))
 
-    def build(members: list[Node]) -> Shape:
-        first = members[0]
-        shape = Shape(first.sign, next(numbers), first.article, members)
-        digest = [first.sign, first.text]
-        if len(members) == 1:
-            groups: list[list[Node]] = []
-            for child in first.nodes:
-                if groups and groups[-1][0].sign == child.sign:
-                    groups[-1].append(child)
-                else:
-                    groups.append([child])
-            shape.nodes = [build(g) for g in groups]
-            digest += [str(s.hash) for s in shape.nodes]
+    def build(node: Node) -> Shape:
+        shape = Shape(node.sign, next(numbers), node.article, node)
+        if node.article:  # slots all the way down, which are no template
+            shape.hash = xxh64_intdigest("\x00".join([node.sign, *_texts(node)]))
         else:
-            for member in members:
-                digest += [member.sign, *_texts(member)]
-        shape.hash = xxh64_intdigest("\x00".join(digest))
+            shape.nodes = [build(child) for child in node.nodes]
+            shape.hash = xxh64_intdigest("\x00".join([node.sign, node.text, *(str(s.hash) for s in shape.nodes)]))
         return shape
 
-    return build([root])
+    return build(root)
 
 
 def _texts(node: Node) -> list[str]:
@@ -217,52 +210,154 @@ def unpacked(data: list) -> Shape:
 
 
 def aligned(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
-    """The pairs of a largest matching of two trees: simple tree matching."""
-    return _match(a, b)[1] if a.sign == b.sign else []
+    """The pairs of a largest matching of two trees: simple tree matching.
+
+    Where siblings have the same sign, signs don't tell which is which: the pairs
+    of their list count by equal nodes first and by matched nodes second.
+    """
+    return _Matching(a, b).pairs(a, b) if a.sign == b.sign else []
+
 
+class _Matching:
+    """Weights of pairs of subtrees, each worked out once for all subtrees that differ only in texts that the other lacks."""
 
-def _match(a: Shape, b: Shape) -> tuple[int, list[tuple[Shape, Shape]]]:
-    if a.hash == b.hash:
-        pairs, stack = [], [(a, b)]
+    def __init__(self, a: Shape, b: Shape):
+        self.keys: dict[tuple, int] = {}
+        self.named: dict[tuple, int] = {}
+        self.known: dict[tuple, tuple[int, int]] = {}
+        both = self.hashes(a) & self.hashes(b)
+        self.mark(a, both)
+        self.mark(b, both)
+
+    @staticmethod
+    def hashes(root: Shape) -> set[int]:
+        out, stack = set(), [root]
+        while stack:
+            node = stack.pop()
+            out.add(node.hash)
+            stack += node.nodes
+        return out
+
+    def mark(self, node: Shape, both: set[int]) -> None:
+        for child in node.nodes:
+            self.mark(child, both)
+        own = (node.hash,) if node.hash in both else ()
+        node.size = 1 + sum(c.size for c in node.nodes)
+        node.shared = frozenset(own).union(*(c.shared for c in node.nodes))
+        node.key = self.keys.setdefault(own or (node.sign, *(c.key for c in node.nodes)), len(self.keys))
+        node.kind = self.keys.setdefault((node.sign, *(c.kind for c in node.nodes)), len(self.keys))
+
+    def key(self, node: Shape, common: frozenset) -> int:
+        """The number of a subtree in which only the texts of ``common`` hashes count."""
+        common = common and common & node.shared
+        if not common:
+            return node.kind
+        if (node.key, common) not in self.named:
+            key = (node.hash,) if node.hash in common else (node.sign, *(self.key(c, common) for c in node.nodes))
+            self.named[node.key, common] = self.keys.setdefault(key, len(self.keys))
+        return self.named[node.key, common]
+
+    def weight(self, x: Shape, y: Shape) -> tuple[int, int]:
+        """(equal nodes, matched nodes) of the best matching of two nodes of one sign."""
+        if x.hash == y.hash:
+            return x.size, x.size
+        common = x.shared & y.shared
+        pair = self.key(x, common), self.key(y, common)
+        if pair not in self.known:
+            equal, size = 0, 1
+            for c, d in self.children(x.nodes, y.nodes):
+                e, n = self.weight(c, d)
+                equal, size = equal + e, size + n
+            self.known[pair] = equal, size
+        return self.known[pair]
+
+    def pairs(self, a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
+        out, stack = [], [(a, b)]
         while stack:
             x, y = stack.pop()
-            pairs.append((x, y))
-            stack += zip(x.nodes, y.nodes)
-        return len(pairs), pairs
-    xs, ys = a.nodes, b.nodes
-    front, back = [], []
-    if len(xs) * len(ys) > MAX_CELLS:
-        while xs and ys and xs[0].sign == ys[0].sign:
-            front, xs, ys = [*front, (xs[0], ys[0])], xs[1:], ys[1:]
-        while xs and ys and xs[-1].sign == ys[-1].sign:
-            back, xs, ys = [*back, (xs[-1], ys[-1])], xs[:-1], ys[:-1]
-        xs = ys = []
-    size, pairs = 1, [(a, b)]
-    for x, y in [*front, *back]:
-        n, found = _match(x, y)
-        size, pairs = size + n, pairs + found
-    if not xs or not ys:
-        return size, pairs
-    found = {}
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs):
-        row, above = best[i + 1], best[i]
+            out.append((x, y))
+            stack += zip(x.nodes, y.nodes) if x.hash == y.hash else self.children(x.nodes, y.nodes)
+        return out
+
+    def children(self, xs: list[Shape], ys: list[Shape]) -> list[tuple[Shape, Shape]]:
+        """The best pairs of two lists of siblings, in order."""
+        if not xs or not ys:
+            return []
+        if len(xs) == len(ys) == 1:
+            return [(xs[0], ys[0])] if xs[0].sign == ys[0].sign else []
+        # Equal ends belong to a best alignment.
+        front, most = 0, min(len(xs), len(ys))
+        while front < most and xs[front].hash == ys[front].hash:
+            front += 1
+        back = 0
+        while back < most - front and xs[-1 - back].hash == ys[-1 - back].hash:
+            back += 1
+        out = list(zip(xs[:front], ys[:front]))
+        tail = list(zip(xs[len(xs) - back :], ys[len(ys) - back :]))
+        repeated = any(len({c.sign for c in part}) < len(part) for part in (xs, ys))
+        xs, ys = xs[front : len(xs) - back], ys[front : len(ys) - back]
+        if xs and ys:
+            out += self.between(xs, ys, repeated)
+        return out + tail
+
+    def between(self, xs: list[Shape], ys: list[Shape], repeated: bool) -> list[tuple[Shape, Shape]]:
+        groups: dict[int, list[int]] = {}
         for j, y in enumerate(ys):
-            most = max(row[j], above[j + 1])
-            if x.sign == y.sign:
-                found[i, j] = _match(x, y)
-                most = max(most, above[j] + found[i, j][0])
-            row[j + 1] = most
-    i, j = len(xs), len(ys)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            size, pairs = size + found[i, j][0], pairs + found[i, j][1]
-    return size, pairs
+            groups.setdefault(y.key, []).append(j)
+        firsts = [(ys[g[0]], k) for k, g in enumerate(groups.values())]
+        place = np.empty(len(ys), np.int64)
+        for k, g in enumerate(groups.values()):
+            place[g] = k
+        rows: dict[int, np.ndarray] = {}
+
+        def row(x: Shape) -> np.ndarray:
+            """The weights of a node with each of ``ys``; zero where the signs differ."""
+            if x.key not in rows:
+                worth = np.zeros(len(firsts), np.int64)
+                for y, k in firsts:
+                    if x.sign == y.sign:
+                        equal, size = self.weight(x, y)
+                        worth[k] = (equal << 31) + size if repeated else size
+                rows[x.key] = worth
+            return rows[x.key][place]
+
+        out: list[tuple[Shape, Shape]] = []
+        parts = [(0, len(xs), 0, len(ys))]
+        while parts:
+            a, b, c, d = parts.pop()
+            if a == b or c == d:
+                continue
+            if b - a > 1 and (b - a) * (d - c) > CELLS:  # in halves, so that a table never gets large
+                middle = (a + b) // 2
+                down = up = np.zeros(d - c + 1, np.int64)
+                for i in range(a, middle):
+                    down = _step(down, row(xs[i])[c:d])
+                for i in range(b - 1, middle - 1, -1):
+                    up = _step(up, row(xs[i])[c:d][::-1])
+                cut = c + int(np.argmax(down + up[::-1]))
+                parts += [(middle, b, cut, d), (a, middle, c, cut)]
+                continue
+            best = [np.zeros(d - c + 1, np.int64)]
+            for i in range(a, b):
+                best.append(_step(best[-1], row(xs[i])[c:d]))
+            i, j, found = b - a, d - c, []
+            while i and j:
+                if best[i][j] == best[i - 1][j]:
+                    i -= 1
+                elif best[i][j] == best[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    found.append((xs[a + i], ys[c + j]))
+            out += found[::-1]
+        return out
+
+
+def _step(above: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """The next row of an alignment's table."""
+    row = above.copy()
+    np.maximum(row[1:], np.where(worth > 0, above[:-1] + worth, 0), out=row[1:])
+    return np.maximum.accumulate(row)
 
 
 def _text_of(html: bytes | None) -> str:
@@ -274,10 +369,15 @@ def tree_of(html: bytes | None) -> str:
     return json.dumps(packed(shaped(parsed(_text_of(html)))), separators=(",", ":"))
 
 
-def votes(reference: str, tree: str) -> list[dict]:
-    """For each matched node of the reference, whether its text is the same."""
-    pairs = aligned(unpacked(json.loads(reference)), unpacked(json.loads(tree)))
-    return [{"node": a.number, "same": a.hash == b.hash} for a, b in pairs if not a.article]
+@lru_cache(4)
+def _reference(tree: str) -> Shape:
+    return unpacked(json.loads(tree))
+
+
+def votes(reference: str, tree: str) -> list[int]:
+    """The nodes of the reference that are matched with the same text."""
+    pairs = aligned(_reference(reference), unpacked(json.loads(tree)))
+    return [a.number for a, b in pairs if not a.article and a.hash == b.hash]
 
 
 def extracted(html: bytes | None, reference: str | None, template: list[int] | None) -> str:
@@ -286,9 +386,9 @@ def extracted(html: bytes | None, reference: str | None, template: list[int] | N
     constant: set[int] = set()
     if reference is not None and template:
         shape, fixed = shaped(root), set(template)
-        for a, b in aligned(unpacked(json.loads(reference)), shape):
+        for a, b in aligned(_reference(reference), shape):
             if a.number in fixed and a.hash == b.hash:
-                constant.update(id(n) for n in b.members)
+                constant.add(id(b.node))
     out, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -314,12 +414,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("page_id").isNull(), "page_id", "h", "tree"))["tree"].alias("reference"),
         F.count(F.lit(1)).alias("n"),
     ).select("of.host", "reference", "n")
-    voted = per_row(votes, "array<struct<node:int, same:boolean>>")("reference", "tree")
+    voted = per_row(votes, "array<int>")("reference", "tree")
     counts = (
         distinct.join(reference.where(F.col("n") >= MIN_PAGES), "host")
-        .select("host", "n", F.explode(voted).alias("v"))
-        .groupBy(F.struct("host", "n", "v.node").alias("of"))
-        .agg(F.count_if("v.same").alias("same"))
+        .select("host", "n", F.explode(voted).alias("node"))
+        .groupBy(F.struct("host", "n", "node").alias("of"))
+        .agg(F.count(F.lit(1)).alias("same"))
         .select("of.*", "same")
         .where(F.col("same") >= CONSTANT * F.col("n"))
     )

@@ -72,3 +72,30 @@ def test_matching_is_largest():
     signs = [x.sign for x, y in html_wrapper.aligned(a, b)]
     assert sorted(signs) == ["b", "c", "e", "r"]
     assert html_wrapper.aligned(a, shape(leaf("q"))) == []
+
+
+def test_siblings_of_one_tag_are_told_apart(spark):
+    page = "<body><div>menu</div><div>story {k}</div><div>legal</div></body>"
+    rows = [(k, "http://a/", page.format(k=k)) for k in range(6)]
+    story = lambda k: [f"<p>story {k} {j}</p>" for j in range(8)]
+    for k in range(6):
+        parts = story(k)
+        parts.insert(k, "<p>Subscribe</p>")
+        rows.append((10 + k, "http://b/", "<body>" + "".join(parts) + "</body>"))
+    got = {r.page_id: r.text for r in html_wrapper.main_texts(table(spark, rows)).collect()}
+    for k in range(6):
+        assert got[k] == f"story {k}"
+        assert got[10 + k] == "\n".join(f"story {k} {j}" for j in range(8))
+
+
+def test_long_child_lists_are_aligned_whole(monkeypatch):
+    def page(k):
+        return "".join(f"<p>{k} {j}</p>" + "<div>ad here</div>" * (j == 150 + k) + "<p>fixed</p>" * (j == 200 - k) for j in range(300 + k))
+
+    trees = [html_wrapper.shaped(html_wrapper.parsed(page(k))) for k in range(2)]
+    for cells in (1 << 20, 1000):
+        monkeypatch.setattr(html_wrapper, "CELLS", cells)
+        pairs = html_wrapper.aligned(*trees)
+        same = {a.node.text for a, b in pairs if a.hash == b.hash} - {""}
+        assert same == {"ad here", "fixed"}
+        assert len(pairs) > 590
