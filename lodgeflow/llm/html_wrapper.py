@@ -1,19 +1,21 @@
 """Main text of web pages by wrapper induction.
 
-The pages of a host are aligned with one of them, the host's reference page, by
-simple tree matching: two nodes match if their tag and class agree, and the
+The pages of a host are told apart by layout: which tags and classes occur below
+which. The pages of a layout are aligned with one of them, the reference page,
+which has most of the nodes that nearly all of them have, by simple tree matching: two nodes match if their tag and class agree, and the
 children of matched nodes, however many, are aligned in order so that most nodes
 match; where siblings have the same tag and class, equal ones are paired first. For
-each node of the reference the votes of all pages of the host are counted.
+each node of the reference the votes of all pages of the layout are counted.
 Nodes whose text is constant are template; varying nodes are slots and hold
 content, unless tag or class names them a menu, header, footer, sidebar, notice,
 advert, form, script, style or comment. Nodes inside an article are slots even
 where a host repeats them, as the markup itself says what they are.
 
-A host's wrapper is its reference tree and the numbers of its template nodes. It
-is learned from all distinct page trees of the host; equal trees vote once, so
+A wrapper is a reference tree and the numbers of its template nodes. It is
+learned from all distinct page trees of the layout, or of the host for layouts
+with fewer than ``MIN_PAGES``; equal trees vote once, so
 copies of a page don't turn its text into template. Trees hold hashes, not
-texts, and only counts by host and node are gathered.
+texts, and only counts by host, layout and node are gathered.
 
 Defined cases: a null, empty or textless html gives the empty text; a page
 without a host belongs to the host ""; a host with fewer than ``MIN_PAGES``
@@ -38,7 +40,7 @@ from xxhash import xxh64_intdigest
 
 from lodgeflow.llm.common import landed, per_row
 
-#: Distinct trees a host needs, and the share of them that must agree, for a template node.
+#: Distinct trees a layout or host needs, and the share of them that must agree, for a template node.
 MIN_PAGES = 3
 CONSTANT = 0.9
 MAX_DEPTH = 100
@@ -400,38 +402,92 @@ def extracted(html: bytes | None, reference: str | None, template: list[int] | N
     return "\n".join(out)
 
 
+def layout_of(html: bytes | None) -> str:
+    """The layout of a page: which signs occur below which, however often, articles apart."""
+    paths, stack = set(), [("", parsed(_text_of(html)))]
+    while stack:
+        above, node = stack.pop()
+        path = f"{above}/{node.sign}"
+        if node.sign != "#":
+            paths.add(path)
+        if not node.article:
+            stack += ((path, n) for n in node.nodes)
+    return f"{xxh64_intdigest(chr(0).join(sorted(paths))):016x}"
+
+
+def hashes_of(tree: str) -> list[str]:
+    """The different nodes of a tree outside articles."""
+    out, stack = set(), [unpacked(json.loads(tree))]
+    while stack:
+        node = stack.pop()
+        if not node.article:
+            out.add(f"{node.hash:x}")
+        stack += node.nodes
+    return sorted(out)
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, reference, template) of the hosts of (page_id, host, html) rows."""
+    """(host, layout, reference, template) of the layouts of (page_id, host, layout, html) rows."""
     html = F.col("html").cast("binary")
-    trees = landed(pages.select("page_id", "host", per_row(tree_of, "string")(html).alias("tree")), "trees")
-    distinct = trees.groupBy("host", F.xxhash64("tree").alias("h")).agg(
+    trees = landed(pages.select("page_id", "host", "layout", per_row(tree_of, "string")(html).alias("tree")), "trees")
+    distinct = trees.groupBy("host", "layout", F.xxhash64("tree").alias("h")).agg(
         F.min("page_id").alias("page_id"), F.first("tree").alias("tree")
     )
     distinct = landed(distinct, "distinct-trees")
-    # Both groupings have keys of their own: their rows are then dealt anew for the join,
+    # Groupings have keys of their own: their rows are then dealt anew for the join,
     # and a large host's part of it can be split.
-    reference = distinct.groupBy(F.struct("host").alias("of")).agg(
-        F.min(F.struct(F.col("page_id").isNull(), "page_id", "h", "tree"))["tree"].alias("reference"),
-        F.count(F.lit(1)).alias("n"),
-    ).select("of.host", "reference", "n")
+    layouts = distinct.groupBy(F.struct("host", "layout").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    layouts = landed(layouts.select("of.*", "n"), "layouts")
+    # Layouts of too few trees share a wrapper, learned from all trees of the host; its layout is "".
+    hosts = layouts.groupBy(F.struct("host").alias("of")).agg(F.sum("n").alias("n"), F.min("n").alias("least"))
+    hosts = hosts.where((F.col("n") >= MIN_PAGES) & (F.col("least") < MIN_PAGES)).select("of.host", "n")
+    columns = ["host", "layout", "n", "page_id", "h", "tree"]
+    members = distinct.join(layouts.where(F.col("n") >= MIN_PAGES), ["host", "layout"]).select(columns).unionByName(
+        distinct.join(hosts, "host").withColumn("layout", F.lit("")).select(columns)
+    )
+    # Template nodes are among the nodes that so many trees have; the reference is the tree with most of these.
+    often = (
+        members.select("host", "layout", "n", F.explode(per_row(hashes_of, "array<string>")("tree")).alias("hash"))
+        .groupBy(F.struct("host", "layout", "n", "hash").alias("of"))
+        .agg(F.count(F.lit(1)).alias("held"))
+        .where(F.col("held") >= CONSTANT * F.col("of.n"))
+        .groupBy(F.struct("of.host", "of.layout").alias("of"))
+        .agg(F.collect_list("of.hash").alias("often"))
+        .select("of.*", "often")
+    )
+    held = per_row(lambda tree, often: len(set(often).intersection(hashes_of(tree))), "int")
+    reference = (
+        members.join(landed(often, "often"), ["host", "layout"])
+        .withColumn("held", held("tree", "often"))
+        .groupBy(F.struct("host", "layout", "n").alias("of"))
+        .agg(F.min(F.struct(-F.col("held"), F.col("page_id").isNull(), "page_id", "h", "tree"))["tree"].alias("reference"))
+        .select("of.*", "reference")
+    )
+    reference = landed(reference, "references")
     voted = per_row(votes, "array<int>")("reference", "tree")
     counts = (
-        distinct.join(reference.where(F.col("n") >= MIN_PAGES), "host")
-        .select("host", "n", F.explode(voted).alias("node"))
-        .groupBy(F.struct("host", "n", "node").alias("of"))
+        members.drop("n").join(reference, ["host", "layout"])
+        .select("host", "layout", "n", F.explode(voted).alias("node"))
+        .groupBy(F.struct("host", "layout", "n", "node").alias("of"))
         .agg(F.count(F.lit(1)).alias("same"))
         .select("of.*", "same")
         .where(F.col("same") >= CONSTANT * F.col("n"))
     )
-    template = counts.groupBy("host").agg(F.collect_list("node").alias("template"))
-    return landed(reference.join(template, "host").select("host", "reference", "template"), "wrappers")
+    template = counts.groupBy("host", "layout").agg(F.collect_list("node").alias("template"))
+    learned = landed(reference.drop("n").join(template, ["host", "layout"]), "wrappers")
+    by = F.when(F.col("n") >= MIN_PAGES, F.col("layout")).otherwise("")
+    return layouts.withColumn("by", by).drop("n").join(
+        learned.withColumnRenamed("layout", "by"), ["host", "by"]
+    ).select("host", "layout", "reference", "template")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of (page_id, url, html)."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    html = F.col("html").cast("binary")
     pages = pages.select("page_id", "url", F.coalesce(host, F.lit("")).alias("host"), "html")
+    pages = pages.withColumn("layout", per_row(layout_of, "string")(html))
     # Wrappers are few beside pages; whether they are sent along is left to their size at run time.
-    known = pages.join(wrappers(pages), "host", "left")
-    text = per_row(extracted, "string")(F.col("html").cast("binary"), "reference", "template")
+    known = pages.join(wrappers(pages), ["host", "layout"], "left")
+    text = per_row(extracted, "string")(html, "reference", "template")
     return known.select("page_id", "url", text.alias("text"))

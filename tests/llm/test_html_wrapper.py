@@ -99,3 +99,16 @@ def test_long_child_lists_are_aligned_whole(monkeypatch):
         same = {a.node.text for a, b in pairs if a.hash == b.hash} - {""}
         assert same == {"ad here", "fixed"}
         assert len(pairs) > 590
+
+
+def test_template_does_not_hang_on_the_first_page(spark):
+    page = "<body><div>menu</div><section><h2>story {k}</h2></section><div>legal</div></body>"
+    other = "<body><table><tr><td>shop</td></tr><tr><td>item {k}</td></tr></table><p>imprint</p></body>"
+    firsts = [None, "", "<h1>Error</h1>", page.replace("<div>menu</div>", "").format(k="x")]
+    rows = [(k, "http://a/", h) for k, h in enumerate(firsts)]
+    rows += [(10 + k, "http://a/", page.format(k=k)) for k in range(12)]
+    rows += [(30 + k, "http://a/", other.format(k=k)) for k in range(5)]
+    got = {r.page_id: r.text for r in html_wrapper.main_texts(table(spark, rows)).collect()}
+    assert {got[10 + k] for k in range(12)} == {f"story {k}" for k in range(12)}
+    assert [got[30 + k] for k in range(5)] == [f"item {k}" for k in range(5)]
+    assert (got[0], got[1], got[2]) == ("", "", "Error")
