@@ -1,7 +1,9 @@
 """WARC archives: a writer with revisit records and a reader that salvages damaged files.
 
 The writer turns pages into WARC/1.1 records and lets Spark's text sink write
-them, so archives are committed, retried and spread like any Spark output. Of
+them, so archives are committed, retried and spread like any Spark output. With
+"gzip" each record is a gzip member of its own, made before the sink, so that
+damage to one leaves the next to go on from. Of
 pages with equal payloads the one with the smallest id becomes a response; the
 others become revisits that refer to it and keep the HTTP header, and with it the
 length of the payload.
@@ -21,6 +23,7 @@ archive without records. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -68,6 +71,18 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r"
 
 
+def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+    """One record as a gzip member, without the zero byte that the text sink adds.
+
+    A member ends with its size, so with a zero unless that is 16 MB or more; an
+    empty member then follows.
+    """
+    data = gzip.compress(record(page_id, url, payload, refers_to) + b"\n", 6, mtime=0)
+    if data[-1]:
+        data += gzip.compress(b"", mtime=0)
+    return data[:-1]
+
+
 def write(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "none") -> None:
     """Write (page_id, url, html) as archive files below ``path``, which must not exist."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
@@ -86,9 +101,11 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "n
         "payload",
         F.when(F.col("page_id").eqNullSafe(F.col("first_id")), None).otherwise(F.col("first_id")).alias("refers_to"),
     )
-    built = per_row(record, "binary")("page_id", "url", "payload", "refers_to").cast("string")
+    members = compression == "gzip"
+    built = per_row(member if members else record, "binary")("page_id", "url", "payload", "refers_to").cast("string")
     writer = revisits.select(built.alias("record")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
-    writer.option("compression", compression).text(path)
+    # The bytes of members are final: the sink only adds the last one of each.
+    writer.option("compression", "none" if members else compression).option("lineSep", "\0" if members else "\n").text(path)
 
 
 def _plain(data: bytes, at: int) -> tuple[dict, int] | None:

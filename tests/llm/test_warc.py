@@ -107,3 +107,26 @@ def test_damaged_file_on_disk(spark, tmp_path):
         crc.unlink()
     got = warc.read(spark, f"{tmp_path}/a").groupBy("kind").count().collect()
     assert {r.kind: r["count"] for r in got} in ({"record": 19, "gap": 1}, {"record": 18, "gap": 1})
+
+
+def test_flipped_byte_in_a_written_gzip_archive(spark, tmp_path):
+    table = spark.range(50).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(cast(id as string), 256), 20) AS html").coalesce(1)
+    warc.write(table, f"{tmp_path}/a", compression="gzip")
+    data = b"".join(f.read_bytes() for f in sorted(Path(tmp_path, "a").glob("part-*")))
+    ids = lambda data: [p[3]["record_id"] for p in warc.salvaged(data) if p[0] == "record"]
+    whole = ids(data)
+    assert len(whole) == 50
+    assert gzip.decompress(data).count(b"WARC/1.1\r\n") == 50
+    for at in range(5, len(data), len(data) // 40):
+        broken = bytearray(data)
+        broken[at] ^= 0xFF
+        got = ids(bytes(broken))
+        assert len(got) >= 49 and set(got) <= set(whole)
+        assert any(p[0] == "gap" for p in warc.salvaged(bytes(broken))) or got == whole
+
+
+def test_members_of_large_records():
+    page = bytes(17 << 20)
+    data = warc.member(1, None, page, None) + b"\0" + warc.member(2, None, b"x", None) + b"\0"
+    parts = list(warc.salvaged(data))
+    assert [(p[0], p[3].get("payload_bytes")) for p in parts] == [("record", len(page)), ("record", 1)]
