@@ -12,7 +12,8 @@ from lodgeflow.llm.common import fresh, landed, table
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
     verdict = fresh(docs, "_quality")
-    return quality_cascade.judged(docs, verdict).where(F.col(verdict)["kept"]).select(*docs.columns)
+    judged = quality_cascade.judged(docs, verdict, rules=quality_cascade.ALL_LENGTHS)
+    return judged.where(F.col(verdict)["kept"]).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

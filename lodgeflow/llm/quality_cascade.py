@@ -7,6 +7,10 @@ rejects) are estimated; the rules then run in falling order of rejection per
 cost, and a text that one rejects is spared the rest. The order changes what a
 verdict costs, never the verdict.
 
+The query keeps to its SQL counterpart, in which few distinct words are no reason
+to reject a text of 5,000 words or more. The pipeline also runs the rule
+"few_distinct_blocks", which holds at every length (``ALL_LENGTHS``).
+
 Defined cases: a null, empty or blank text has no words and fails the base rule;
 text without a repeated window has no repeated words; rows repeated in the input
 come back repeated; an empty table gives an empty table and the listed order of
@@ -15,7 +19,7 @@ rules. Other columns are kept as they are.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import partial
 from time import perf_counter
 
@@ -87,6 +91,19 @@ RULES: dict[str, Callable[[Counts], bool]] = {
     "shouting": lambda c: _share(c.words, str.isupper) > 0.5,
 }
 
+BLOCK = 1000
+
+
+def _few_distinct_blocks(c: Counts) -> bool:
+    """Whether the words are few in each stretch of the text: a measure that doesn't fall with its length."""
+    distinct = sum(len(set(c.words[k : k + BLOCK])) for k in range(0, c.n_words, BLOCK))
+    return 10 * distinct < c.n_words
+
+
+#: ``RULES`` are those of the SQL counterpart, where "few_distinct" spares texts of 5,000 words
+#: and more, as a long text's share of distinct words falls. These judge all lengths.
+ALL_LENGTHS = RULES | {"few_distinct_blocks": _few_distinct_blocks}
+
 
 def _trial(names: list[str], texts: list[bytes]):
     """(rule, seconds, rejected) of every rule on every text."""
@@ -94,25 +111,27 @@ def _trial(names: list[str], texts: list[bytes]):
         counts = Counts(text)
         for name in names:
             start = perf_counter()
-            rejected = RULES[name](counts)
+            rejected = ALL_LENGTHS[name](counts)
             yield name, perf_counter() - start, int(rejected)
 
 
-def planned(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
+def planned(docs: DataFrame, sample: int = SAMPLE, rules: Iterable[str] = RULES) -> list[str]:
     """Rules by falling rejection per cost, estimated on at most ``sample`` texts of all files."""
     share = min(1.0, 1.5 * sample / max(docs.count(), 1))
     texts = docs.sample(share, seed=7).limit(sample).select(utf8("text"))
-    tried = map_rows(texts, partial(_trial, list(RULES)), "rule string, seconds double, rejected int")
+    tried = map_rows(texts, partial(_trial, list(rules)), "rule string, seconds double, rejected int")
     worth = {
         r.rule: (r.rejected + 0.5) / (r.seconds + 1e-9)
         for r in tried.groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect()
     }
-    return sorted(RULES, key=lambda name: -worth.get(name, 0.0))
+    return sorted(rules, key=lambda name: -worth.get(name, 0.0))
 
 
-def judged(docs: DataFrame, column: str = "quality", order: list[str] | None = None) -> DataFrame:
-    """``docs`` plus a struct of the base counts, ``base_failed`` and ``kept``."""
-    order = planned(docs) if order is None else order
+def judged(
+    docs: DataFrame, column: str = "quality", order: list[str] | None = None, rules: Iterable[str] = RULES
+) -> DataFrame:
+    """``docs`` plus a struct of the base counts, ``base_failed`` and ``kept``; ``order`` stands for ``rules``."""
+    order = planned(docs, rules=rules) if order is None else order
 
     def judge(text: bytes) -> dict:
         c = Counts(text)
@@ -120,7 +139,7 @@ def judged(docs: DataFrame, column: str = "quality", order: list[str] | None = N
             "n_words": c.n_words, "word_chars": c.word_chars, "n_symbols": c.n_symbols,
             "n_dup_lines": c.n_dup_lines, "n_repeat_words": c.n_repeat_words,
             "base_failed": c.base_failed,
-            "kept": not c.base_failed and not any(RULES[name](c) for name in order),
+            "kept": not c.base_failed and not any(ALL_LENGTHS[name](c) for name in order),
         }
 
     kind = (

@@ -1,6 +1,8 @@
+import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 import pyarrow.parquet as pq
 
 from lodgeflow.llm import quality_cascade, queries
@@ -65,3 +67,16 @@ def test_order_changes_no_verdict(docs):
     ]
     assert verdicts[0] == verdicts[1]
     assert sorted(quality_cascade.planned(table)) == sorted(names)
+
+
+def test_junk_of_few_words_at_both_sides_of_5000(docs):
+    rng = random.Random(3)
+    junk = lambda n: " ".join(f"junk{rng.randrange(50)}" for _ in range(n))
+    prose = lambda n: " ".join(f"plain{rng.randrange(3000)}" for _ in range(n))
+    table = docs(*enumerate([junk(4999), junk(5000), junk(20_000), prose(4999), prose(5000), prose(60_000)]))
+    every = quality_cascade.judged(table, rules=quality_cascade.ALL_LENGTHS)
+    assert {r.doc_id for r in every.collect() if r.quality.kept} == {3, 4, 5}
+    kept = corpus_pipeline.quality_rules(table.sparkSession, table, "")
+    assert {r.doc_id for r in kept.collect()} == {3, 4, 5}
+    sql = quality_cascade.judged(table).collect()  # as the SQL counterpart has it
+    assert {r.doc_id: r.quality.kept for r in sql}[0] is False
