@@ -112,4 +112,42 @@ SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
 FROM firsts
 """
 
-ORACLES = {"op2_chat": OP2, "op4_quality": OP4, "op7_decontam": OP7, "op10_warc": OP10}
+_UINT = "CAST(CAST('0x' || substr(h, {}, 8) AS BIGINT) AS BIGINT)"
+
+OP13 = f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, parts, len(parts) - CAST(parts[-1] = '' AS INT) AS n,
+         {_UINT.format(1)} AS h1, {_UINT.format(9)} AS h2, {_UINT.format(17)} AS h3, {_UINT.format(25)} AS h4
+  FROM hashed
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), placed AS (
+  SELECT *, CASE WHEN a = 0 THEN 0 WHEN a = n THEN length(text)
+                 ELSE list_sum(list_transform(parts[1:a], lambda x: length(x))) + a END AS i,
+         CASE WHEN b = 0 THEN 0 WHEN b = n THEN length(text)
+              ELSE list_sum(list_transform(parts[1:b], lambda x: length(x))) + b END AS j
+  FROM cut
+), divided AS (
+  SELECT *, array_slice(text, 1, i) AS prefix, array_slice(text, i + 1, j) AS middle,
+         array_slice(text, j + 1, length(text)) AS suffix
+  FROM placed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(i AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(j - i AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM divided
+"""
+
+ORACLES = {"op2_chat": OP2, "op4_quality": OP4, "op7_decontam": OP7, "op10_warc": OP10, "op13_infill": OP13}

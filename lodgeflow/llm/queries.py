@@ -7,7 +7,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, mixing, pii_votes, quality_cascade, simhash, suffix_dedup, warc
+from lodgeflow.llm import brown_lm, chat_format, decontam, html_wrapper, infill, mixing, pii_votes, quality_cascade, simhash, suffix_dedup, toxicity, warc, whitening
 from lodgeflow.llm.oracles import ORACLES  # noqa: F401
 from lodgeflow.llm.common import landed, per_row, table
 from lodgeflow.session import scratch_dir
@@ -120,6 +120,44 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    examples = docs.where(~held_out).join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
+    model = toxicity.trained(examples.select("doc_id", "text", "toxic"))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = whitening.whitened(rows).select("vec_id", "white.*")
+    each = F.posexplode(F.arrays_zip("whitened", "explained"))
+    return found.select("vec_id", "n", "deviation", "identity_error", each.alias("at", "c")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("c")["whitened"].alias("whitened"),
+        F.col("c")["explained"].alias("explained"),
+        "identity_error",
+    )
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = infill.with_infill(docs)
+    return found.select(
+        "doc_id",
+        "infill.n",
+        "infill.form",
+        "infill.prefix_chars",
+        "infill.middle_chars",
+        F.sha2("infill.output", 256).alias("output_sha256"),
+        F.sha2(infill.text_of("infill"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix": op1_suffix,
     "op2_chat": op2_chat,
@@ -131,4 +169,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_html": op9_html,
     "op10_warc": op10_warc,
+    "op11_toxicity": op11_toxicity,
+    "op12_whitening": op12_whitening,
+    "op13_infill": op13_infill,
 }
