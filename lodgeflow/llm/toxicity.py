@@ -39,8 +39,9 @@ from lodgeflow.llm.common import landed, map_rows
 SAMPLE_ROWS, WINDOWS, TURNS = 1_700, 4, 3
 #: Words of a window, n-gram lengths (word boundaries count as a character), hash buckets, dimensions.
 WINDOW_WORDS, SIZES, BUCKET_BITS, DIMENSIONS = 4, (3, 4, 5), 17, 8
-#: Rounds over the windows, windows of a step, its size for the softmax, and how much larger steps of all vectors together are.
-EPOCHS, BATCH, RATE, PACE, SEED = 6, 512, 0.1, 1000, 11
+#: Rounds over the windows, windows of a step, least steps of a round, their size for the softmax, and how much larger
+#: steps of all vectors together are.
+EPOCHS, BATCH, STEPS, RATE, PACE, SEED = 10, 512, 24, 0.1, 1000, 11
 #: Characters that are looked at at once, and the longest wait for a word's end there.
 STRETCH, LONGEST_WORD = 1 << 20, 1 << 12
 _MULTIPLIER, _MIX = 0x100000001B3, 0x9E3779B97F4A7C15
@@ -224,7 +225,7 @@ def fitted(clean: list[str], toxic: list[str]) -> tuple[np.ndarray, float]:
     softmax, bias = rng.uniform(-1, 1, (DIMENSIONS, 2)), np.zeros(2)
     squares, pace = [np.full(softmax.shape, 1e-6), np.full(2, 1e-6)], 1e-6
     order = rng.permutation(len(texts))
-    batches = [_batch([texts[i] for i in part]) + (labels[part], each[part]) for part in np.array_split(order, -(-len(order) // BATCH))]
+    batches = [_batch([texts[i] for i in part]) + (labels[part], each[part]) for part in np.array_split(order, min(len(order), max(STEPS, len(order) // BATCH)))]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for used, place, bag, share, n, wanted, weight in batches:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.llm import queries, toxicity
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 BAD = ["idiot", "worthless", "disgusting"]
 
 
@@ -110,8 +110,9 @@ def test_query_on_held_out_documents(spark):
     got = queries.op11_toxicity(spark, SF)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = got.cache()
     assert got.count() == docs.count() and got.where("score is null or score < 0 or score > 1").count() == 0
     assert got.where((F.col("held_out") != (F.crc32(F.col("doc_id").cast("string")) % 5 == 0))).count() == 0
     judged = got.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out")
-    right = judged.select(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
-    assert right >= 0.85  # of 70 documents; 45 toxic ones to learn from
+    right = dict(judged.groupBy("toxic").agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).collect())
+    assert right[0] >= 0.85 and right[1] >= 0.85  # 352 toxic documents of four languages to learn from
