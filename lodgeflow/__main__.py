@@ -64,7 +64,24 @@ def _transform(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _stream(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.stream_bookings(
-        spark, a.bookings_root, a.listings_root, a.log, a.checkpoint, delay=a.delay, every=a.every
+        spark, a.bookings_root, a.listings_root, a.log, a.checkpoint,
+        delay=a.delay, every=a.every, max_files=a.max_files,
+    ).awaitTermination()
+
+
+def _arrived(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.write_arrived_bookings(spark, a.log, a.output_path, fold_late=a.fold_late)
+
+
+def _stream_quality(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.stream_quality(
+        spark, a.bookings_root, a.output_path, a.checkpoint, every=a.every, max_files=a.max_files
+    ).awaitTermination()
+
+
+def _stream_visits(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.stream_page_visits(
+        spark, a.visits_root, a.output_path, a.checkpoint, every=a.every, max_files=a.max_files
     ).awaitTermination()
 
 
@@ -113,9 +130,18 @@ def parser() -> argparse.ArgumentParser:
     transform = job("transform-orders", _transform, "input_path", "output_path")
     transform.add_argument("--no-currency", action="store_true")
     transform.add_argument("--overwrite", choices=["static", "dynamic"], default="static")
-    stream = job("stream-bookings", _stream, "bookings_root", "listings_root", "log", "checkpoint")
-    stream.add_argument("--delay", default="1 hour")
-    stream.add_argument("--every", help="trigger interval; without it, stop at the end of input")
+    def stream(name: str, run: Callable, *required: str) -> argparse.ArgumentParser:
+        sub = job(name, run, *required, "checkpoint")
+        sub.add_argument("--every", help="trigger interval; without it, stop at the end of input")
+        sub.add_argument("--max_files", type=int, help="most files of a micro-batch")
+        return sub
+
+    stream("stream-bookings", _stream, "bookings_root", "listings_root", "log").add_argument("--delay", default="1 hour")
+    job("arrived-bookings", _arrived, "log", "output_path").add_argument(
+        "--fold_late", action="store_true", help="count the late rows first"
+    )
+    stream("stream-quality", _stream_quality, "bookings_root", "output_path")
+    stream("stream-page-visits", _stream_visits, "visits_root", "output_path")
     return top
 
 

@@ -1,4 +1,4 @@
-from lodgeflow.functions.checks import Rule, anomaly_messages, booking_rules, is_missing
+from lodgeflow.functions.checks import VALID_STATUSES, Rule, anomaly_messages, booking_rules, is_missing
 from lodgeflow.functions.cleaning import clean_currency, order_month, order_year, to_score
 from lodgeflow.functions.timestamps import (
     MINUTE_STAMPS,
@@ -13,6 +13,7 @@ from lodgeflow.functions.timestamps import (
 
 __all__ = [
     "MINUTE_STAMPS",
+    "VALID_STATUSES",
     "Rule",
     "anomaly_messages",
     "batch_minute_from_path",

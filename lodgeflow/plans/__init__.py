@@ -2,6 +2,9 @@
 
 from lodgeflow.plans.extracts import extract_order_lines, transform_orders
 from lodgeflow.plans.marketplace import (
+    BookingStreams,
+    arrived_bookings,
+    booking_log,
     bookings_from_database,
     bookings_from_minute_files,
     bookings_report,
@@ -9,10 +12,23 @@ from lodgeflow.plans.marketplace import (
     review_scores,
     review_scores_from_database,
     stream_bookings,
+    waiting_bookings,
+    write_arrived_bookings,
+)
+from lodgeflow.plans.quality import (
+    page_visits_report,
+    quality_report,
+    stream_page_visits,
+    stream_quality,
+    streamed_anomalies,
+    streamed_anomaly_counts,
+    streamed_page_visits,
 )
-from lodgeflow.plans.quality import page_visits_report, quality_report
 
 __all__ = [
+    "BookingStreams",
+    "arrived_bookings",
+    "booking_log",
     "bookings_from_database",
     "bookings_from_minute_files",
     "bookings_report",
@@ -23,5 +39,12 @@ __all__ = [
     "review_scores",
     "review_scores_from_database",
     "stream_bookings",
+    "stream_page_visits",
+    "stream_quality",
+    "streamed_anomalies",
+    "streamed_anomaly_counts",
+    "streamed_page_visits",
     "transform_orders",
+    "waiting_bookings",
+    "write_arrived_bookings",
 ]

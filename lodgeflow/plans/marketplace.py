@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodgeflow import operators, schemas, sinks, sources, streaming
-from lodgeflow.functions import to_score
-from lodgeflow.session import scratch_dir
+from lodgeflow.functions import month_stamp, to_score
 
 
 def _read(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
@@ -151,6 +151,27 @@ def hourly_scores(reviews: DataFrame, start: str, end: str) -> DataFrame:
     return means.where(operators.in_range(F.col("window_start"), first, last))
 
 
+class BookingStreams(NamedTuple):
+    """The running queries of :func:`stream_bookings`."""
+
+    listings: StreamingQuery
+    bookings: StreamingQuery
+
+    def awaitTermination(self) -> None:  # noqa: N802  as the queries' own
+        for query in self:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self:
+            query.stop()
+
+
+def booking_log(log: str, delay: str = "1 hour") -> streaming.CountLog:
+    """The log of bookings per minute and listing under ``log``."""
+    counted = {"booking_count": F.count("booking_id")}
+    return streaming.CountLog(f"{log}/bookings", schemas.BOOKINGS, "booking_time", ("listing_id",), counted, delay=delay)
+
+
 def stream_bookings(
     spark: SparkSession,
     bookings_root: str,
@@ -161,21 +182,39 @@ def stream_bookings(
     delay: str = "1 hour",
     every: str | None = None,
     max_files: int | None = None,
-) -> StreamingQuery:
-    """Booking count per minute and listing as booking CSV files arrive, in folders of any depth.
+) -> BookingStreams:
+    """Log bookings per minute and listing, and the listings of each month, as their CSV files arrive.
 
-    Each minute meets the listings of its month. Those are read from
-    ``listings_root/snapshot_month=<yyyy-MM>/`` and landed once as Parquet.
-    The counts go to a log of updates; read it with
-    :func:`lodgeflow.streaming.latest_counts`.
+    Neither waits for the other: bookings stay in the log until the listings of
+    their month are there, from ``listings_root/snapshot_month=<yyyy-MM>/``, and
+    meet them in :func:`arrived_bookings`. Bookings later than ``delay`` go to the
+    log's side table, from which ``booking_log(log).fold_late(spark)`` takes them.
     """
-    arriving = streaming.file_stream(
-        spark, bookings_root, schemas.BOOKINGS, "csv", max_files=max_files
+    arriving = streaming.file_stream(spark, bookings_root, schemas.BOOKINGS, "csv", max_files=max_files)
+    return BookingStreams(
+        streaming.land_snapshots(
+            spark, listings_root, f"{log}/listings", f"{checkpoint}/listings", schemas.LISTINGS, every=every
+        ),
+        booking_log(log, delay).write(arriving, f"{checkpoint}/bookings", every=every),
     )
-    counts = streaming.windowed_counts(
-        arriving, "booking_time", ["listing_id"], "booking_id", "booking_count", delay=delay
-    )
-    landed = scratch_dir(spark, "listings")
-    sinks.write_table(_listing_snapshots(spark, listings_root), landed)
-    joined = streaming.join_snapshots(counts, sources.read_table(spark, landed), "booking_count")
-    return streaming.write_updates(joined, log, checkpoint, every=every)
+
+
+def arrived_bookings(spark: SparkSession, log: str) -> DataFrame:
+    """Booking count per minute and listing of all months whose listings have arrived."""
+    counts = booking_log(log).rows(spark)
+    return streaming.join_snapshots(counts, streaming.landed_snapshots(spark, f"{log}/listings"), "booking_count")
+
+
+def waiting_bookings(spark: SparkSession, log: str) -> DataFrame:
+    """Bookings per month that has no listings yet."""
+    months = streaming.landed_snapshots(spark, f"{log}/listings").select("snapshot_month").distinct()
+    counts = booking_log(log).rows(spark).withColumn("snapshot_month", month_stamp(F.col("window_start")))
+    by_month = counts.groupBy("snapshot_month").agg(F.sum("booking_count").alias("booking_count"))
+    return by_month.join(months, "snapshot_month", "left_anti")
+
+
+def write_arrived_bookings(spark: SparkSession, log: str, output_path: str, *, fold_late: bool = False) -> None:
+    """:func:`arrived_bookings` as CSV, replacing the one at ``output_path``; ``fold_late`` takes late rows in first."""
+    if fold_late:
+        booking_log(log).fold_late(spark)
+    sinks.write_csv(arrived_bookings(spark, log), output_path, mode="overwrite")

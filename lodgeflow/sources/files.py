@@ -141,8 +141,21 @@ def read_json_batches(
     :func:`lodgeflow.operators.row_positions`.
     """
     files = spark.read.text(path, wholetext=True)
-    batch = F.from_json("value", f"array<{schema.simpleString()}>", {"mode": "FAILFAST"})
-    return files.select(
-        batch_minute_from_path(F.col("_metadata.file_path")).alias("batch_minute"),
+    return json_batches(files.select("value", F.col("_metadata.file_path").alias("file")), schema, strict=True)[0]
+
+
+def json_batches(
+    files: DataFrame, schema: StructType, *, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``files`` (``value``: a JSON array, ``file``: its path), and the files that hold none.
+
+    ``strict`` makes a broken file an error instead.
+    """
+    array = f"array<{schema.simpleString()}>"
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    batch = F.from_json("value", array, {"mode": mode})
+    rows = files.select(
+        batch_minute_from_path(F.col("file")).alias("batch_minute"),
         F.posexplode(batch).alias("row_index", "row"),
     ).select("batch_minute", F.col("row_index").cast("bigint").alias("row_index"), "row.*")
+    return rows, files.where(batch.isNull())

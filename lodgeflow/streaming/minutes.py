@@ -131,7 +131,8 @@ def join_snapshots(counts: DataFrame, snapshots: DataFrame, count_name: str) ->
     ).select(*keys, "name", "price", count_name)
 
 
-def _started(writer, checkpoint: str, every: str | None) -> StreamingQuery:
+def started(writer, checkpoint: str, every: str | None) -> StreamingQuery:
+    """Start a stream: a micro-batch ``every`` so often, or without it up to the end of the present input."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -153,7 +154,7 @@ def write_updates(
     empty = counts.sparkSession.createDataFrame([], counts.schema)
     empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
     empty.write.mode("overwrite").parquet(f"{path}_snapshots/upto=-1")
-    return _started(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
+    return started(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
 
 
 def newest(spark: SparkSession, path: str, values: list[str]) -> DataFrame:
@@ -208,7 +209,7 @@ def write_closed(
     move the watermark on.
     """
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _started(writer, checkpoint, every)
+    return started(writer, checkpoint, every)
 
 
 class LateRows(StreamingQueryListener):

@@ -97,7 +97,7 @@ def test_each_minute_meets_its_month(spark, tmp_path):
     _arrive(tmp_path / "in", "2359", (1, 7, "2025-01-31 23:59:00"), (2, 7, "2025-02-01 00:00:00"), (3, 7, "2025-03-01 00:00:00"))
     log = f"{tmp_path}/log"
     plans.stream_bookings(spark, f"{tmp_path}/in", f"{tmp_path}/listings", log, f"{tmp_path}/cp").awaitTermination()
-    rows = streaming.latest_counts(spark, log, "booking_count").select("window_start", "price", "booking_count").collect()
+    rows = plans.arrived_bookings(spark, log).select("window_start", "price", "booking_count").collect()
     assert sorted(map(tuple, rows)) == [(datetime(2025, 1, 31, 23, 59), "$1", 1), (datetime(2025, 2, 1), "$2", 1)]
 
 
@@ -107,3 +107,172 @@ def test_only_named_files(spark, tmp_path):
     stream = streaming.file_stream(spark, f"{tmp_path}/a", sources.read_table(spark, f"{tmp_path}/a").schema, only=file.name)
     streaming.write_closed(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == spark.read.parquet(str(file)).count()
+
+
+def _listings(root, month, price):
+    folder = root / f"snapshot_month={month}"
+    folder.mkdir(parents=True)
+    (folder / "l.csv").write_text(f'id,host,name,price\n7,"x, y","A\nB",{price}\n')
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_a_month_may_arrive_after_its_bookings(spark, tmp_path, max_files):
+    """The second month's listings come mid-stream, over restarts; all bookings are there, as in batch."""
+    bookings, listings, log = tmp_path / "in", tmp_path / "listings", f"{tmp_path}/log"
+
+    def run():
+        plans.stream_bookings(
+            spark, str(bookings), str(listings), log, f"{tmp_path}/cp", max_files=max_files
+        ).awaitTermination()
+        return sorted((r.window_start, r.price, r.booking_count) for r in plans.arrived_bookings(spark, log).collect())
+
+    january, february = datetime(2025, 1, 31, 23, 59), datetime(2025, 2, 1)
+    listings.mkdir()
+    _arrive(bookings, "2359", (1, 7, "2025-01-31 23:59:00"), (2, 7, "2025-02-01 00:00:00"))
+    assert run() == []
+    assert sorted(map(tuple, plans.waiting_bookings(spark, log).collect())) == [("2025-01", 1), ("2025-02", 1)]
+    _listings(listings, "2025-01", "$1")
+    assert run() == [(january, "$1", 1)]
+    _arrive(bookings, "0000", (3, 7, "2025-02-01 00:00:30"), (4, 7, "2025-01-31 23:59:59"))
+    assert run() == [(january, "$1", 2)]
+    assert list(map(tuple, plans.waiting_bookings(spark, log).collect())) == [("2025-02", 2)]
+    _listings(listings, "2025-02", "$2")
+    assert run() == [(january, "$1", 2), (february, "$2", 2)]
+    assert plans.waiting_bookings(spark, log).count() == 0
+    rows = sources.read_minute_csv(spark, f"{bookings}/*/*.csv", schemas.BOOKINGS, multi_line=False)
+    months = sources.read_dated(spark, str(listings), schemas.LISTINGS, partition="snapshot_month")
+    want = operators.snapshot_bookings(months, rows, by="minute").withColumnRenamed("batch_minute", "window_start")
+    got = plans.arrived_bookings(spark, log).select(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_month_arrives_while_both_streams_run(spark, tmp_path):
+    bookings, listings, log = tmp_path / "in", tmp_path / "listings", f"{tmp_path}/log"
+    _listings(listings, "2025-01", "$1")
+    _arrive(bookings, "2359", (1, 7, "2025-01-31 23:59:00"), (2, 7, "2025-02-01 00:00:00"))
+    streams = plans.stream_bookings(spark, str(bookings), str(listings), log, f"{tmp_path}/cp", every="0 seconds")
+    try:
+        for query in streams:
+            query.processAllAvailable()
+        assert plans.arrived_bookings(spark, log).count() == 1
+        _listings(listings, "2025-02", "$2")
+        _arrive(bookings, "0000", (3, 7, "2025-02-01 00:00:30"))
+        for query in streams:
+            query.processAllAvailable()
+        assert sorted(r.booking_count for r in plans.arrived_bookings(spark, log).collect()) == [1, 2]
+    finally:
+        streams.stop()
+
+
+def _log(tmp_path, delay="10 minutes"):
+    return streaming.CountLog(
+        f"{tmp_path}/log", schemas.BOOKINGS, "booking_time", ("listing_id",), {"n": F.count("booking_id")}, delay=delay
+    )
+
+
+def test_late_rows_are_kept_and_folded(spark, tmp_path):
+    """On time plus late is the batch result, whenever and however often the job runs."""
+    root, log = tmp_path / "in", _log(tmp_path)
+
+    def run():
+        rows = streaming.file_stream(spark, str(root), schemas.BOOKINGS, "csv", max_files=1)
+        log.write(rows, f"{tmp_path}/cp").awaitTermination()
+        return sorted(map(tuple, log.rows(spark).collect()))
+
+    noon, nine, early = datetime(2025, 1, 31, 12), datetime(2025, 1, 31, 9), datetime(2025, 1, 31, 11, 49)
+    _arrive(root, "0900", (1, 7, "2025-01-31 12:00:00"), (9, 7, ""))
+    assert run() == [(noon, 7, 1)]
+    # The watermark is 11:50: the minute of 11:49 is closed, that of 11:50 is not.
+    _arrive(root, "0901", (2, 7, "2025-01-31 09:00:00"), (3, 7, "2025-01-31 11:50:30"), (4, 7, "2025-01-31 11:49:59"))
+    assert run() == [(datetime(2025, 1, 31, 11, 50), 7, 1), (noon, 7, 1)]
+    assert sorted(r.booking_id for r in log.late_rows(spark).collect()) == [2, 4]
+    for _ in range(2):
+        log.fold_late(spark)
+        whole = [(nine, 7, 1), (early, 7, 1), (datetime(2025, 1, 31, 11, 50), 7, 1), (noon, 7, 1)]
+        assert sorted(map(tuple, log.rows(spark).collect())) == whole
+    _arrive(root, "0902", (5, 7, "2025-01-31 09:00:59"), (6, 8, "2025-01-31 12:30:00"))
+    run()
+    log.fold_late(spark)
+    rows = sources.read_minute_csv(spark, f"{root}/*/*.csv", schemas.BOOKINGS, multi_line=False)
+    want = operators.tumbling_count(rows, "booking_time", ["listing_id"], "booking_id", "n")
+    assert sorted(map(tuple, log.rows(spark).collect())) == sorted(map(tuple, want.collect()))
+    marks = log.marks(spark).agg(F.sum("on_time"), F.sum("late"), F.sum("without_time")).first()
+    assert tuple(marks) == (3, 3, 1)
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    log = _log(tmp_path)
+    root = tmp_path / "in"
+    _arrive(root, "0900", (1, 7, "2025-01-31 12:00:00"))
+    _arrive(root, "0901", (2, 7, "2025-01-31 09:00:00"))
+    rows = streaming.file_stream(spark, str(root), schemas.BOOKINGS, "csv", max_files=1)
+    log.write(rows, f"{tmp_path}/cp").awaitTermination()
+    log.fold_late(spark)
+    before = sorted(map(tuple, log.rows(spark).collect()))
+    batch = spark.createDataFrame([(2, 7, 1, datetime(2025, 1, 31, 9), "confirmed")], schemas.BOOKINGS)
+    log._add(batch, 1)
+    log.fold_late(spark)
+    assert sorted(map(tuple, log.rows(spark).collect())) == before
+
+
+def test_a_compacted_log_reads_the_same(spark, tmp_path):
+    root, log = tmp_path / "in", _log(tmp_path)
+    for k, at in enumerate(["12:00:00", "09:00:00", "12:00:30", "08:00:00", "12:01:00"]):
+        _arrive(root, f"090{k}", (k, 7, f"2025-01-31 {at}"))
+        log.write(streaming.file_stream(spark, str(root), schemas.BOOKINGS, "csv"), f"{tmp_path}/cp").awaitTermination()
+    assert log.compact(spark) == 3
+    rows = sources.read_minute_csv(spark, f"{root}/*/*.csv", schemas.BOOKINGS, multi_line=False)
+    want = operators.tumbling_count(rows, "booking_time", ["listing_id"], "booking_id", "n")
+    assert sorted(map(tuple, log.rows(spark).collect())) == sorted(map(tuple, want.collect()))
+    _arrive(root, "0907", (9, 7, "2025-01-31 07:00:00"))
+    log.write(streaming.file_stream(spark, str(root), schemas.BOOKINGS, "csv"), f"{tmp_path}/cp").awaitTermination()
+    log.fold_late(spark)
+    assert log.rows(spark).agg(F.sum("n")).first()[0] == 6
+    assert log.compact(spark) == 4 and log.rows(spark).agg(F.sum("n")).first()[0] == 6
+
+
+def _array(root, minute, text):
+    folder = root / f"2025-01-31_{minute}"
+    folder.mkdir(parents=True)
+    (folder / "bookings.json").write_text(text)
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_arrays_arrive_over_several_batches(spark, tmp_path, max_files):
+    """Numbers, texts and blanks, an empty array and a broken file; the same as the batch report."""
+    root, out = tmp_path / "in", f"{tmp_path}/out"
+    good = '[{"booking_id": 0, "listing_id": "0", "user_id": 5, "booking_time": "", "status": "error"},\n {"booking_id": "a"}]'
+    clean = '[{"booking_id": 1, "listing_id": 2, "user_id": 3, "booking_time": "x", "status": "pending"}]'
+    _array(root, "0900", good)
+    _array(root, "0901", "[]")
+
+    def run():
+        plans.stream_quality(spark, str(root), out, f"{tmp_path}/cp", max_files=max_files).awaitTermination()
+        return sorted((r.batch_minute, r.row_index, r.anomalies) for r in plans.streamed_anomalies(spark, out).collect())
+
+    first = run()
+    assert [(i, a) for _, i, a in first] == [
+        (0, ["Missing booking_id", "Missing booking_time", "Invalid status: error"]),
+        (1, ["Missing listing_id", "Missing user_id", "Missing booking_time", "Missing status"]),
+    ]
+    _array(root, "0902", clean)
+    assert run() == first
+    read = sources.read_json_batches(spark, f"{root}/*/bookings.json", schemas.DIRTY_BOOKINGS)
+    from lodgeflow.functions import booking_rules
+
+    rules = booking_rules(read)
+    assert first == sorted(map(tuple, operators.row_anomalies(read, rules).collect()))
+    counts = operators.anomaly_counts(read, rules)
+    assert sorted(map(tuple, plans.streamed_anomaly_counts(spark, out).collect())) == sorted(map(tuple, counts.collect()))
+    _array(root, "0903", '[{"booking_id": 1,')
+    assert run() == first
+    assert [r.file[-29:] for r in spark.read.json(f"{out}/broken").collect()] == ["2025-01-31_0903/bookings.json"]
+
+
+def test_page_visits_arrive(spark, tmp_path):
+    root, out = tmp_path / "in", f"{tmp_path}/out"
+    for minute, visits in (("0900", [1, 2]), ("0901", [5])):
+        _array(root, minute, str([{"id": 1, "page_visits": v} for v in visits]).replace("'", '"'))
+        plans.stream_page_visits(spark, str(root), out, f"{tmp_path}/cp").awaitTermination()
+    got = sorted(map(tuple, plans.streamed_page_visits(spark, out).collect()))
+    assert got == [(datetime(2025, 1, 31, 9), 1.5), (datetime(2025, 1, 31, 9, 1), 5.0)]
