@@ -123,8 +123,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    examples = docs.where(~held_out).join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
-    model = toxicity.trained(examples.select("doc_id", "text", "toxic"))
+    model = toxicity.trained(docs.where(~held_out), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model)("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

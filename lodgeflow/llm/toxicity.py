@@ -12,14 +12,14 @@ from all over each text stand for it; then a pass over the sample with the model
 so far finds each toxic text's worst windows and the clean texts' windows that
 look worst, and the model is fitted anew.
 
-Bound: at most SAMPLE_ROWS different labelled texts of each class are fitted, the
-ones with the smallest hashes of id and text, of which at most WINDOWS windows of
-each are taken per turn. Everything else covers all rows.
+Bound: at most SAMPLE_ROWS labelled texts of each class are fitted, those with the
+smallest hashes of their ids, of which at most WINDOWS windows of each are taken
+per turn. Everything else covers all rows.
 
 Defined cases: null and wordless texts score the share of toxic labels, as does
 every text if labels of one class only are given (0.0 without any). Labels other
-than 0 and 1 are not learnt from. Repeated rows are learnt once and each scored
-alike. Very long texts are scored a million characters at a time; windows begin
+than 0 and 1, and rows without an id, are not learnt from. Of rows with the same id
+the least text is learnt; all are scored. Very long texts are scored a million characters at a time; windows begin
 anew there. An empty table gives an empty one. Other columns are never looked at.
 """
 
@@ -157,20 +157,22 @@ def score(model: Model) -> Callable[..., Column]:
     return F.arrow_udf(scores, returnType="double").asNondeterministic()
 
 
-def trained(examples: DataFrame) -> Model:
-    """The model of ``doc_id, text, toxic``, from a bounded sample of both classes."""
-    examples = examples.where(F.col("toxic").isin(0, 1)).withColumn("h", F.xxhash64("doc_id", "text"))
-    keys = examples.select("toxic", "h")
-    counts = {int(t): n for t, n in keys.groupBy("toxic").count().collect()}
+def trained(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model of texts ``doc_id, text`` and labels ``doc_id, toxic``, from a bounded sample of both classes.
+
+    The sample is drawn among the ids, so only its texts are ever joined. A
+    document that is labelled more than once is toxic if one label says so.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1)).join(docs.select("doc_id"), "doc_id", "left_semi")
+    known = landed(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("doc_id")), "known")
+    counts = {int(t): n for t, n in known.groupBy("toxic").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return Model(None, 0.0, share)
-    reach = {}
-    for label in (0, 1):
-        least = keys.where(F.col("toxic") == label).select("h").distinct().orderBy("h").limit(SAMPLE_ROWS)
-        reach[label] = least.agg(F.max("h")).first()[0]
-    near = F.when(F.col("toxic") == 0, F.col("h") <= reach[0]).otherwise(F.col("h") <= reach[1])
-    sample = landed(examples.where(near).select("h", "toxic", "text").dropDuplicates(["toxic", "h"]), "labelled")
+    least = [known.where(F.col("toxic") == t).orderBy("h", "doc_id").limit(SAMPLE_ROWS) for t in (0, 1)]
+    chosen = F.broadcast(least[0].unionByName(least[1]).select("doc_id", "h", "toxic"))  # of 2 x SAMPLE_ROWS rows
+    texts = docs.join(chosen, "doc_id").groupBy("doc_id", "h", "toxic").agg(F.min("text").alias("text"))
+    sample = landed(texts.select("h", "toxic", "text"), "labelled")
     model, clean = None, set()
     for _ in range(TURNS):
         windows = map_rows(sample, _chosen(model), "h bigint, toxic int, window string").collect()

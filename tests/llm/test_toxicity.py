@@ -23,9 +23,14 @@ def made(seed, n, spelled=lambda w: w):
     return out
 
 
+def learnt(spark, rows):
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    return toxicity.trained(labelled.select("doc_id", "text"), labelled.select("doc_id", "toxic"))
+
+
 @pytest.fixture(scope="module")
 def model(spark):
-    return toxicity.trained(spark.createDataFrame(made(1, 900), "doc_id bigint, text string, toxic int"))
+    return learnt(spark, made(1, 900))
 
 
 def scores(spark, model, texts):
@@ -96,16 +101,25 @@ def test_edges(spark, model):
 @pytest.mark.parametrize("labels, share", [([], 0.0), ([0, 0], 0.0), ([1, 1], 1.0), ([None, 7], 0.0)])
 def test_labels_of_one_class_only(spark, labels, share):
     rows = [(k, "some text", y) for k, y in enumerate(labels)]
-    model = toxicity.trained(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    model = learnt(spark, rows)
     assert scores(spark, model, ["x", None]) == [share, share]
 
 
 def test_texts_without_words_teach_nothing(spark):
     rows = [(1, None, 1), (2, "", 1), (3, "plain words", 0)]
-    model = toxicity.trained(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    model = learnt(spark, rows)
     assert scores(spark, model, ["x"]) == [pytest.approx(2 / 3)]
 
 
+def test_labels_without_texts_and_repeated_rows(spark, model):
+    """Labels of unknown documents take no place in the sample; repeated rows and labels change nothing."""
+    rows = made(1, 900)
+    docs = spark.createDataFrame([r[:2] for r in rows] * 2 + [(None, "idiot")], "doc_id bigint, text string")
+    marks = [(k, y) for k, _, y in rows] + [(k, 0) for k, _, y in rows] + [(k, 1) for k in range(10_000, 20_000)]
+    again = toxicity.trained(docs, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    assert (again.weights == model.weights).all() and again.bias == model.bias
+
+
 def test_query_on_held_out_documents(spark):
     got = queries.op11_toxicity(spark, SF)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
