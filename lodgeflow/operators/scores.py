@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.functions.cleaning import to_score
+from lodgeflow.functions.sums import exact_mean
 
 
 def avg_review_score(
@@ -13,10 +14,11 @@ def avg_review_score(
 ) -> DataFrame:
     """``listing_id, avg_review_score``: scores as 32-bit floats, bad ones left out.
 
-    A listing with no usable score stays, with a null mean.
+    A listing with no usable score stays, with a null mean. A mean has the same
+    bits however the reviews are spread over files and tasks.
     """
     return reviews.groupBy(F.col(listing).alias("listing_id")).agg(
-        F.avg(to_score(F.col(score))).alias("avg_review_score")
+        exact_mean(to_score(F.col(score))).alias("avg_review_score")
     )
 
 

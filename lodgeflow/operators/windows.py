@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeflow.functions.sums import exact_parts, mean_of_parts, merged_parts
+
 
 def in_range(ts: Column, start: Column, end: Column) -> Column:
     return (ts >= start) & (ts < end)
@@ -52,16 +54,17 @@ def sliding_mean(
     """Mean of ``value`` over windows of ``minutes`` that start every ``slide`` minutes.
 
     Expanding every row into ``minutes / slide`` windows is what a sliding
-    ``window()`` does. Here rows first become one (sum, count) per slide step
+    ``window()`` does. Here rows first become one exact partial sum per slide step
     and key. Those partials are brought together per key and block of
     ``minutes``, so that after the expansion each task adds up all steps of a
     block before the second shuffle: a full block of 60 minutes sends 119 rows
     instead of 3,600.
     """
+    parts = exact_parts(value)
     partials = (
         rows.groupBy(F.window(ts, f"{slide} minutes").alias("_step"), *keys)
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
-        .select(F.col("_step.start").alias("_start"), *keys, "_sum", "_n")
+        .agg(*[part.alias(c) for c, part in parts.items()])
+        .select(F.col("_step.start").alias("_start"), *keys, *parts)
     )
     return means_of_partials(partials, keys, name, minutes=minutes, slide=slide)
 
@@ -69,7 +72,11 @@ def sliding_mean(
 def means_of_partials(
     partials: DataFrame, keys: list[str], name: str, *, minutes: int = 60, slide: int = 1
 ) -> DataFrame:
-    """Sliding means from one (``_start``, ``keys``, ``_sum``, ``_n``) per slide step and key."""
+    """Sliding means from one row per slide step and key: ``_start``, ``keys`` and the parts of an exact sum.
+
+    The parts are those of :func:`lodgeflow.functions.exact_parts`, so a mean has
+    the same bits however its rows were spread and grouped.
+    """
     steps, rest = divmod(minutes, slide)
     if rest:
         raise ValueError("minutes must be a multiple of slide")
@@ -80,7 +87,7 @@ def means_of_partials(
     ).repartition(*keys, "_block")
     starts = F.explode(F.sequence(F.col("_start") - reach, F.col("_start"), step))
     return (
-        blocks.select(starts.alias("window_start"), *keys, "_sum", "_n")
+        blocks.select(starts.alias("window_start"), *keys, *merged_parts())
         .groupBy("window_start", *keys)
-        .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias(name))
+        .agg(mean_of_parts().alias(name))
     )

@@ -1,6 +1,7 @@
 from lodgeflow.sources.files import (
     FOREIGN,
     MICROS,
+    json_batches,
     read_csv,
     read_dated,
     read_json_batches,
@@ -15,12 +16,16 @@ from lodgeflow.sources.jdbc import (
     read_jdbc_range,
     read_jdbc_table,
 )
+from lodgeflow.sources.rescue import RESCUED, read_csv_rescued, rescued_counts
 
 __all__ = [
     "FOREIGN",
     "MICROS",
+    "RESCUED",
     "RangeRead",
+    "json_batches",
     "read_csv",
+    "read_csv_rescued",
     "read_dated",
     "read_jdbc_query",
     "read_jdbc_range",
@@ -29,5 +34,6 @@ __all__ = [
     "read_json_rows",
     "read_minute_csv",
     "read_table",
+    "rescued_counts",
     "spread",
 ]

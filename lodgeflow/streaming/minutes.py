@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from lodgeflow.functions.cleaning import to_score
+from lodgeflow.functions.sums import exact_parts, merged_parts
 from lodgeflow.functions.timestamps import month_stamp
 from lodgeflow.operators.popularity import join_copies
 from lodgeflow.operators.windows import means_of_partials
@@ -77,24 +78,24 @@ def windowed_counts(
 def minute_scores(
     rows: DataFrame, ts: str, listing: str, score: Column, *, delay: str = "1 hour"
 ) -> DataFrame:
-    """Sum and number of the scores of each listing and minute.
+    """Exact sum and number of the scores of each listing and minute.
 
     One row of state per open minute and listing. Write it as updates;
     :func:`hourly_scores` forms the one-hour windows from the log, complete up
     to the newest minute at any time.
     """
-    score = to_score(score)
+    parts = exact_parts(to_score(score))
     return (
         as_event_time(rows, ts, delay)
         .groupBy(F.window(ts, "1 minute").alias("_minute"), F.col(listing).alias("listing_id"))
-        .agg(F.sum(score).alias("_sum"), F.count(score).alias("_n"))
-        .select(F.col("_minute.start").cast("timestamp_ntz").alias("_start"), "listing_id", "_sum", "_n")
+        .agg(*[part.alias(c) for c, part in parts.items()])
+        .select(F.col("_minute.start").cast("timestamp_ntz").alias("_start"), "listing_id", *parts)
     )
 
 
 def hourly_scores(spark: SparkSession, log: str) -> DataFrame:
     """Mean score per listing over one-hour windows that start every minute, from the log of minutes."""
-    return means_of_partials(newest(spark, log, ["_sum", "_n"]), ["listing_id"], "avg_review_score")
+    return means_of_partials(newest(spark, log, list(merged_parts())), ["listing_id"], "avg_review_score")
 
 
 def join_listings(
