@@ -5,5 +5,14 @@ from lodgeflow.sinks.files import (
     write_raw,
     write_table,
 )
+from lodgeflow.sinks.publish import recover, replace
 
-__all__ = ["write_csv", "write_json", "write_partitioned", "write_raw", "write_table"]
+__all__ = [
+    "recover",
+    "replace",
+    "write_csv",
+    "write_json",
+    "write_partitioned",
+    "write_raw",
+    "write_table",
+]

@@ -1,19 +1,35 @@
-"""File sinks. All refuse an existing target unless told to overwrite it."""
+"""File sinks. All refuse an existing target unless told to overwrite it.
+
+Overwriting a whole target writes beside it and then exchanges the two, so a job
+that fails leaves the former result (:mod:`lodgeflow.sinks.publish`).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from lodgeflow.sinks.publish import replace
 from lodgeflow.sources.files import MICROS, NULL, QUOTED
 
 _TIMES = {"timestampFormat": MICROS, "timestampNTZFormat": MICROS}
 
 
-def _writer(rows: DataFrame, mode: str, partition_by: list[str] | None) -> DataFrameWriter:
-    writer = rows.write.mode(mode).options(**_TIMES)
-    return writer.partitionBy(*partition_by) if partition_by else writer
+def _write(
+    rows: DataFrame, path: str, mode: str, put: Callable[[DataFrameWriter, str], None], partition_by: list[str] | None = None
+) -> None:
+    """``put(writer, folder)``: straight to ``path``, or to its successor if ``mode`` is overwrite."""
+    def start(mode: str) -> DataFrameWriter:
+        writer = rows.write.mode(mode).options(**_TIMES)
+        return writer.partitionBy(*partition_by) if partition_by else writer
+
+    if mode == "overwrite":
+        replace(rows.sparkSession, path, lambda folder: put(start("errorifexists"), folder))
+    else:
+        put(start(mode), path)
 
 
 def write_csv(
@@ -36,14 +52,16 @@ def write_csv(
     texts = [f.name for f in columns if isinstance(f.dataType, StringType)]
     refused = F.raise_error(F.lit("a text is the reserved null marker U+FDD0"))
     rows = rows.withColumns({c: F.when(F.col(c) == NULL, refused).otherwise(F.col(c)) for c in texts})
-    _writer(rows, mode, partition_by).options(
-        quote=QUOTED["quote"],
-        escape=QUOTED["escape"],
-        nullValue=NULL if len(columns) == 1 else "",
-        emptyValue='""',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    ).csv(path, header=header, compression=compression)
+    options = {
+        "quote": QUOTED["quote"],
+        "escape": QUOTED["escape"],
+        "nullValue": NULL if len(columns) == 1 else "",
+        "emptyValue": '""',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    put = lambda writer, folder: writer.options(**options).csv(folder, header=header, compression=compression)
+    _write(rows, path, mode, put, partition_by)
 
 
 def write_raw(rows: DataFrame, root: str, day: str, *, partition: str = "day") -> str:
@@ -61,12 +79,12 @@ def write_json(
     partition_by: list[str] | None = None,
 ) -> None:
     """Write JSON Lines; no rows is a valid, empty result."""
-    _writer(rows, mode, partition_by).json(path)
+    _write(rows, path, mode, lambda writer, folder: writer.json(folder), partition_by)
 
 
 def write_table(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """Land rows as Parquet in evenly sized files, whatever the input files' sizes."""
-    rows.hint("rebalance").write.mode(mode).parquet(path)
+    _write(rows.hint("rebalance"), path, mode, lambda writer, folder: writer.parquet(folder))
 
 
 def write_partitioned(
@@ -88,6 +106,7 @@ def write_partitioned(
     """
     if cluster:
         rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    rows.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(
-        *partition_by
-    ).parquet(path)
+    if overwrite == "dynamic":  # Spark itself writes beside the partitions and then exchanges them
+        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        _write(rows, path, mode, lambda writer, folder: writer.parquet(folder), partition_by)

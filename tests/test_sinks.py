@@ -116,3 +116,64 @@ def test_large_partition_is_split(spark, tmp_path):
 def test_landed_table(orders, tmp_path, spark):
     sinks.write_table(orders, f"{tmp_path}/out")
     assert sources.read_table(spark, f"{tmp_path}/out").count() == 3
+
+
+def _failing(spark, n=40):
+    """Rows that fail in one task, after others have been written."""
+    return spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") == n - 1, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("int").alias("id"),
+        F.lit(1996).alias("order_year"),
+        F.lit(1).alias("order_month"),
+    )
+
+
+WRITERS = {
+    "csv": lambda rows, path: sinks.write_csv(rows, path, header=True, mode="overwrite"),
+    "json": lambda rows, path: sinks.write_json(rows, path, mode="overwrite"),
+    "table": lambda rows, path: sinks.write_table(rows, path, mode="overwrite"),
+    "static": lambda rows, path: sinks.write_partitioned(rows, path, ["order_year"]),
+    "dynamic": lambda rows, path: sinks.write_partitioned(rows, path, ["order_year"], overwrite="dynamic"),
+}
+READERS = {"csv": lambda spark, path: spark.read.csv(path, header=True), "json": lambda spark, path: spark.read.json(path)}
+
+
+@pytest.mark.parametrize("kind", sorted(WRITERS))
+def test_a_failed_overwrite_leaves_the_former_result(orders, spark, tmp_path, kind):
+    path = f"{tmp_path}/out"
+    read = READERS.get(kind, lambda spark, path: spark.read.parquet(path))
+    WRITERS[kind](orders, path)
+    before = sorted(map(str, read(spark, path).collect()))
+    with pytest.raises(Exception, match="broken"):
+        WRITERS[kind](_failing(spark), path)
+    assert sorted(map(str, read(spark, path).collect())) == before and len(before) == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    WRITERS[kind](orders.limit(1), path)
+    assert read(spark, path).count() == (3 if kind == "dynamic" else 1)
+
+
+def test_a_table_may_be_written_from_itself(orders, spark, tmp_path):
+    path = f"{tmp_path}/out"
+    sinks.write_table(orders, path)
+    sinks.write_table(spark.read.parquet(path).where("id > 1"), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("at", ["before", "between", "after"])
+def test_an_interrupted_exchange_is_completed(orders, spark, tmp_path, at):
+    """The process ended before the first rename, between the two, or before the old folder was deleted."""
+    path = f"{tmp_path}/out"
+    sinks.write_table(orders, path)
+    sinks.write_table(orders.limit(1), f"{tmp_path}/_out._new-1")
+    if at != "before":
+        (tmp_path / "out").rename(tmp_path / "_out._old-1")
+    if at == "after":
+        (tmp_path / "_out._new-1").rename(tmp_path / "out")
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == (3 if at == "before" else 1)
+    assert not list(tmp_path.glob("_out._old*"))
+
+
+def test_folders_beside_a_target_are_not_read(orders, spark, tmp_path):
+    sinks.write_table(orders, f"{tmp_path}/all/out")
+    sinks.write_table(orders, f"{tmp_path}/all/_out._new-1")
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/all").count() == 3
