@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import SparkSession
 
 from lodgeflow import plans
+from lodgeflow.functions import MINUTE_STAMPS
 from lodgeflow.session import get_spark
 
 
@@ -29,7 +30,17 @@ def _bookings_db(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _bookings_files(spark: SparkSession, a: argparse.Namespace) -> None:
-    plans.bookings_from_minute_files(spark, a.bookings, a.listings_root, a.output_path)
+    plans.bookings_from_minute_files(
+        spark, a.bookings, a.listings_root, a.output_path, start=a.start, end=a.end, layout=a.layout
+    )
+
+
+def _catch_up_files(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.catch_up_from_minute_files(spark, a.bookings, a.listings_root, a.ledger, a.start, a.end, layout=a.layout)
+
+
+def _catch_up_db(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.catch_up_from_database(spark, a.url, a.listings_root, a.ledger, a.start, a.end, **dict(a.option))
 
 
 def _scores(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -51,15 +62,17 @@ def _visits(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _extract(spark: SparkSession, a: argparse.Namespace) -> None:
+    splits = {table: (key, (int(low), int(high))) for table, key, low, high in a.split}
     plans.extract_order_lines(
-        spark, a.url, a.raw_root, a.day, limit=a.limit, **dict(a.option)
+        spark, a.url, a.raw_root, a.day, limit=a.limit, splits=splits, **dict(a.option)
     )
 
 
 def _transform(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.transform_orders(
-        spark, a.input_path, a.output_path, currency=not a.no_currency, overwrite=a.overwrite
-    )
+        spark, a.input_path, a.output_path,
+        currency=not a.no_currency, overwrite=a.overwrite, multi_line=a.multi_line,
+    )
 
 
 def _stream(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -118,17 +131,27 @@ def parser() -> argparse.ArgumentParser:
         "--no-header", action="store_true"
     )
     csv_job("bookings-per-listing", _bookings, "listings_file", "bookings_file", "output_path")
-    job("bookings-from-minute-files", _bookings_files, "bookings", "listings_root", "output_path")
+    files = job("bookings-from-minute-files", _bookings_files, "bookings", "listings_root", "output_path")
+    for bound in ("start", "end"):
+        files.add_argument(f"--{bound}", help="with both, read only the folders of these minutes below --bookings")
+    late = job("catch-up-from-minute-files", _catch_up_files, "bookings", "listings_root", "ledger", "start", "end")
+    for sub in (files, late):
+        sub.add_argument("--layout", choices=sorted(MINUTE_STAMPS), default="underscore", help="stamp in the folders' names")
+    database("catch-up-from-database", _catch_up_db, "listings_root", "ledger", "start", "end")
     database("bookings-from-database", _bookings_db, "listings_root", "output_path", "start", "end")
     csv_job("review-scores", _scores, "customer_reviews", "output_path")
     database("review-scores-from-database", _scores_db, "output_path", "start", "end")
     job("quality-report", _quality, "bookings", "output_path")
     job("page-visits", _visits, "visits", "output_path")
-    database("extract-orders", _extract, "raw_root", "day").add_argument(
-        "--limit", type=int, help="extract only the first rows"
+    extract = database("extract-orders", _extract, "raw_root", "day")
+    extract.add_argument("--limit", type=int, help="extract only the first rows")
+    extract.add_argument(
+        "--split", nargs=4, action="append", default=[], metavar=("TABLE", "KEY", "LOW", "HIGH"),
+        help="read TABLE over many connections by its numeric KEY, repeatable",
     )
     transform = job("transform-orders", _transform, "input_path", "output_path")
     transform.add_argument("--no-currency", action="store_true")
+    transform.add_argument("--multi_line", action="store_true", help="fields may hold newlines")
     transform.add_argument("--overwrite", choices=["static", "dynamic"], default="static")
     def stream(name: str, run: Callable, *required: str) -> argparse.ArgumentParser:
         sub = job(name, run, *required, "checkpoint")

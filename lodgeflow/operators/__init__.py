@@ -1,3 +1,4 @@
+from lodgeflow.operators.ledger import Ledger, in_minutes
 from lodgeflow.operators.orders import (
     clean_order_lines,
     order_lines_extract,
@@ -17,11 +18,13 @@ from lodgeflow.operators.windows import (
 )
 
 __all__ = [
+    "Ledger",
     "anomaly_counts",
     "avg_page_visits",
     "avg_review_score",
     "bookings_per_listing",
     "clean_order_lines",
+    "in_minutes",
     "in_range",
     "means_of_partials",
     "order_lines_extract",

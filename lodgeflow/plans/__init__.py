@@ -8,6 +8,8 @@ from lodgeflow.plans.marketplace import (
     bookings_from_database,
     bookings_from_minute_files,
     bookings_report,
+    catch_up_from_database,
+    catch_up_from_minute_files,
     popular_listings,
     review_scores,
     review_scores_from_database,
@@ -32,6 +34,8 @@ __all__ = [
     "bookings_from_database",
     "bookings_from_minute_files",
     "bookings_report",
+    "catch_up_from_database",
+    "catch_up_from_minute_files",
     "extract_order_lines",
     "page_visits_report",
     "popular_listings",

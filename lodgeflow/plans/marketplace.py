@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodgeflow import operators, schemas, sinks, sources, streaming
-from lodgeflow.functions import month_stamp, to_score
+from lodgeflow.functions import batch_minute_from_path, minute_start, month_stamp, to_score
 
 
 def _read(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
@@ -59,9 +60,9 @@ def bookings_report(
     sinks.write_csv(counts, output_path, mode="overwrite")
 
 
-def _listing_snapshots(spark: SparkSession, root: str) -> DataFrame:
+def _listing_snapshots(spark: SparkSession, root: str, months: list[str] | None = None) -> DataFrame:
     return sources.read_dated(
-        spark, root, schemas.LISTINGS, partition="snapshot_month", **sources.FOREIGN
+        spark, root, schemas.LISTINGS, dates=months, partition="snapshot_month", **sources.FOREIGN
     )
 
 
@@ -70,24 +71,107 @@ def _minute(text: str) -> str:
 
 
 def bookings_from_minute_files(
-    spark: SparkSession, bookings: str, listings_root: str, output_path: str
+    spark: SparkSession,
+    bookings: str,
+    listings_root: str,
+    output_path: str,
+    *,
+    start: str | None = None,
+    end: str | None = None,
+    layout: str = "underscore",
 ) -> None:
     """Booking count per minute file and listing, replacing the CSV at ``output_path``.
 
     ``bookings`` is a glob of files named after their minute, for example
     ``root/*/bookings.csv``; the minute of the name counts, as one run per file
-    would have it. Each minute meets the listings of its month, from
+    would have it. With ``start`` and ``end`` it is the root of the minutes'
+    folders, of which only those of ``[start, end)`` are listed and read. Each
+    minute meets the listings of its month, from
     ``listings_root/snapshot_month=<yyyy-MM>/``.
     """
-    rows = sources.read_minute_csv(
-        spark, bookings, schemas.BOOKINGS, multi_line=False, **sources.FOREIGN
-    )
+    if (start is None) != (end is None):
+        raise ValueError("start and end belong together")
+    months = None
+    if start is not None:
+        bookings = sources.minute_folders(spark, bookings, sources.minutes_between(start, end), layout)
+        months = _months(spark, listings_root, sources.months_between(start, end))
     counts = operators.snapshot_bookings(
-        _listing_snapshots(spark, listings_root), rows, by="minute", time="batch_minute"
+        _listing_snapshots(spark, listings_root, months), _minute_bookings(spark, bookings), by="minute", time="batch_minute"
     )
     sinks.write_csv(counts, output_path, mode="overwrite")
 
 
+def _minute_bookings(spark: SparkSession, bookings: str | list[str]) -> DataFrame:
+    if not bookings:
+        return spark.createDataFrame([], StructType([*schemas.BOOKINGS.fields, schemas.ANOMALIES["batch_minute"]]))
+    return sources.read_minute_csv(spark, bookings, schemas.BOOKINGS, multi_line=False, **sources.FOREIGN)
+
+
+def _months(spark: SparkSession, listings_root: str, months: list[str]) -> list[str]:
+    """Those of ``months`` whose listings are there."""
+    found = sources.existing_folders(spark, listings_root, [f"snapshot_month={m}" for m in months])
+    return [path.rpartition("=")[2] for path in found]
+
+
+def catch_up_from_minute_files(
+    spark: SparkSession, bookings_root: str, listings_root: str, ledger: str, start: str, end: str, *, layout: str = "underscore"
+) -> None:
+    """:func:`bookings_from_minute_files` for the minutes of ``[start, end)`` that the ledger lacks.
+
+    A minute is finished once its folder and the listings of its month are there;
+    other minutes are left to a later run. Read the result with
+    ``operators.Ledger(ledger).rows(spark)``.
+    """
+
+    def read(minutes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        asked = [r.minute for r in minutes.collect()]  # of the range asked for
+        folders = sources.minute_folders(spark, bookings_root, asked, layout)
+        stamped = spark.createDataFrame([(f,) for f in folders], "path string")
+        there = stamped.select(batch_minute_from_path(F.col("path")).alias("minute"))
+        return _minute_bookings(spark, folders), there
+
+    _catch_up(spark, listings_root, ledger, start, end, read, "batch_minute")
+
+
+def catch_up_from_database(
+    spark: SparkSession, url: str, listings_root: str, ledger: str, start: str, end: str, *, table: str = "bookings", **options: str
+) -> None:
+    """:func:`bookings_from_database` for the minutes of ``[start, end)`` that the ledger lacks.
+
+    Only ranges of missing minutes whose month has listings are read.
+    """
+
+    def read(minutes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        span = sources.RangeRead("booking_time", _minute(start), _minute(end), options=options)
+        rows = sources.read_jdbc_range(spark, url, table, schemas.BOOKINGS.fieldNames(), span)
+        return rows.where(operators.in_minutes(F.col("booking_time"), minutes)), minutes
+
+    _catch_up(spark, listings_root, ledger, start, end, read, "booking_time")
+
+
+def _catch_up(
+    spark: SparkSession,
+    listings_root: str,
+    ledger: str,
+    start: str,
+    end: str,
+    read: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    time: str,
+) -> None:
+    """``read`` gives the bookings of the minutes it gets, and which of these minutes it has found."""
+    book = operators.Ledger(ledger)
+    book.open(spark)
+    months = _months(spark, listings_root, sources.months_between(start, end))
+    known = month_stamp(F.col("minute")).isin(months)
+    missing = book.missing(spark, start, end).where(known)
+    if not missing.take(1):
+        return
+    rows, minutes = read(missing)
+    rows = rows.withColumn("minute", minute_start(F.col(time))).join(minutes, "minute", "left_semi").drop("minute")
+    snapshots = _listing_snapshots(spark, listings_root, months)
+    book.publish(operators.snapshot_bookings(snapshots, rows, by="minute", time=time), minutes)
+
+
 def bookings_from_database(
     spark: SparkSession,
     url: str,
@@ -107,7 +191,9 @@ def bookings_from_database(
     span = sources.RangeRead("booking_time", _minute(start), _minute(end), options=options)
     bookings = sources.read_jdbc_range(spark, url, table, schemas.BOOKINGS.fieldNames(), span)
     counts = operators.snapshot_bookings(
-        _listing_snapshots(spark, listings_root), bookings, by="minute"
+        _listing_snapshots(spark, listings_root, _months(spark, listings_root, sources.months_between(start, end))),
+        bookings,
+        by="minute",
     )
     sinks.write_csv(counts, output_path, mode="overwrite")
 

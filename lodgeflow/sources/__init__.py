@@ -17,13 +17,18 @@ from lodgeflow.sources.jdbc import (
     read_jdbc_table,
 )
 from lodgeflow.sources.rescue import RESCUED, read_csv_rescued, rescued_counts
+from lodgeflow.sources.stamps import existing_folders, minute_folders, minutes_between, months_between
 
 __all__ = [
     "FOREIGN",
     "MICROS",
     "RESCUED",
     "RangeRead",
+    "existing_folders",
     "json_batches",
+    "minute_folders",
+    "minutes_between",
+    "months_between",
     "read_csv",
     "read_csv_rescued",
     "read_dated",
