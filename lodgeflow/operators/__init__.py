@@ -4,7 +4,13 @@ from lodgeflow.operators.orders import (
     order_lines_extract,
     top_order_lines,
 )
-from lodgeflow.operators.popularity import bookings_per_listing, reviews_per_listing, top_k
+from lodgeflow.operators.popularity import (
+    bookings_per_listing,
+    counts_per_listing,
+    daily_counts,
+    reviews_per_listing,
+    top_k,
+)
 from lodgeflow.operators.positions import row_positions
 from lodgeflow.operators.quality import anomaly_counts, row_anomalies
 from lodgeflow.operators.scores import avg_page_visits, avg_review_score
@@ -24,6 +30,8 @@ __all__ = [
     "avg_review_score",
     "bookings_per_listing",
     "clean_order_lines",
+    "counts_per_listing",
+    "daily_counts",
     "in_minutes",
     "in_range",
     "means_of_partials",

@@ -56,6 +56,29 @@ def bookings_per_listing(
     ).select("listing_id", "name", "price", "booking_count")
 
 
+def daily_counts(facts: DataFrame, counted: str, time: str | None = None) -> DataFrame:
+    """Facts per ``listing_id`` and ``day`` as partial counts ``n``, for a bucketed table.
+
+    A listing that holds a third of all facts has no more rows here than there
+    are days, so its bucket stays small. Without ``time`` there is one row per
+    listing and call, as for one appended delivery.
+    """
+    keys = ["listing_id"] + ([F.to_date(time).alias("day")] if time else [])
+    return facts.groupBy(*keys).agg(F.count(counted).alias("n"))
+
+
+def counts_per_listing(
+    listings: DataFrame, partial: DataFrame, attributes: list[str], count_name: str
+) -> DataFrame:
+    """``id``, ``attributes`` and the total of the partial counts ``n`` of each listing that has any.
+
+    The same rows as joining single facts and then counting. With both tables
+    bucketed by their listing alike, nothing below or in the join is shuffled.
+    """
+    counts = partial.groupBy(F.col("listing_id").alias("id")).agg(F.sum("n").alias(count_name))
+    return join_copies(listings, counts, ["id"], attributes, count_name).select("id", *attributes, count_name)
+
+
 def top_k(rows: DataFrame, k: int, *order: Column | str) -> DataFrame:
     """The first ``k`` rows in ``order``; each task keeps only its own best ``k``."""
     return rows.orderBy(*order).limit(k)

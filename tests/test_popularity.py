@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgeflow import operators as ops
+from lodgeflow import sinks
 
 
 @pytest.fixture
@@ -104,3 +105,44 @@ def test_order_survives_partitions(spark):
     )
     got = [(r.num_reviews, r.id) for r in ops.reviews_per_listing(dims, reviews).collect()]
     assert got == sorted(((n, i) for i, n in counts.items()), key=lambda x: (-x[0], x[1]))
+
+
+def _bucketed(spark, tmp_path, listings, facts, buckets=3):
+    name = f"t{abs(hash(str(tmp_path)))}"
+    partial = ops.daily_counts(facts, "id", "at")
+    left = sinks.write_bucketed(listings, f"{name}_l", f"{tmp_path}/l", ["id"], buckets=buckets)
+    right = sinks.write_bucketed(partial, f"{name}_f", f"{tmp_path}/f", ["listing_id"], buckets=buckets)
+    return name, left, right
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, plan, rows):
+    listings = spark.createDataFrame([(k % 50, f"n{k % 50}") for k in range(60)] + [(None, "x")], "id bigint, name string")
+    facts = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 70).alias("listing_id"),
+        F.expr("timestamp_ntz'2025-01-01' + make_dt_interval(int(id % 9))").alias("at"),
+    )
+    want = rows(ops.reviews_per_listing(listings, facts))
+    name, left, right = _bucketed(spark, tmp_path, listings, facts)
+    found = ops.counts_per_listing(left, right, ["name"], "num_reviews")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert "Exchange" not in plan(found) and "Bucketed: true" in plan(found)
+        assert rows(found) == want
+        assert "Exchange" in plan(ops.reviews_per_listing(listings, facts))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A hot listing's bucket holds a row for each day, not for each fact.
+    assert right.where("listing_id = 7").count() == 9
+    again = sinks.attach_bucketed(spark, f"{name}_again", f"{tmp_path}/f", "listing_id bigint, day date, n bigint", ["listing_id"], buckets=3)
+    assert rows(ops.counts_per_listing(left, again, ["name"], "num_reviews")) == want
+
+
+def test_deliveries_are_appended_to_buckets(spark, tmp_path, rows):
+    listings = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, name string")
+    first, second = (spark.createDataFrame(r, "id bigint, listing_id bigint") for r in ([(1, 1), (2, 1)], [(3, 1), (4, 2), (None, 2)]))
+    name = f"d{abs(hash(str(tmp_path)))}"
+    left = sinks.write_bucketed(listings, f"{name}_l", f"{tmp_path}/l", ["id"], buckets=2)
+    for facts in (first, second):
+        partial = ops.daily_counts(facts, "id")
+        right = sinks.write_bucketed(partial, f"{name}_f", f"{tmp_path}/f", ["listing_id"], buckets=2, mode="append")
+    assert rows(ops.counts_per_listing(left, right, ["name"], "n_all")) == [(1, "a", 3), (2, "b", 1)]
