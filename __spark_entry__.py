@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import wraps
 from importlib.util import find_spec
 from pathlib import Path
@@ -19,7 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from lodgeflow import functions as fn
 from lodgeflow import operators as ops
-from lodgeflow import schemas, sinks, sources, streaming
+from lodgeflow import plans, schemas, sinks, sources, streaming
 from lodgeflow.session import scratch_dir
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -59,6 +60,16 @@ def _order_bookings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _dated_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("booking_id"),
+        F.col("o_custkey").alias("listing_id"),
+        F.lit(0).cast("bigint").alias("user_id"),
+        F.col("o_orderdate").alias("booking_time"),
+        F.lit("confirmed").alias("status"),
+    )
+
+
 def _event_bookings(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "events").select(
         F.col("event_id").alias("booking_id"),
@@ -256,6 +267,14 @@ def _purchase_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return _customer_listings(spark, sf).drop("price").join(prices, "id")
 
 
+def _urgent_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of the months in which a customer had an urgent order."""
+    orders = _table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    month = fn.month_stamp(F.col("o_orderdate")).alias("snapshot_month")
+    prices = orders.groupBy(F.col("o_custkey").alias("id"), month).agg(F.max("o_totalprice").alias("price"))
+    return _customer_listings(spark, sf).drop("price").join(prices, "id").select("id", "name", "price", "snapshot_month")
+
+
 def minute_snapshot_bookings(spark: SparkSession, sf: str) -> DataFrame:
     """Prices of the months in which a user bought, against all events by minute."""
     return ops.snapshot_bookings(
@@ -348,21 +367,33 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("batch_minute")
 
 
+#: Rows of an array file; a longer hour has several files.
+ARRAY_ROWS = 10_000
+
+
 def _array_files(rows: DataFrame, root: str) -> str:
-    """One JSON array file per hour, named after the hour's first minute, rows in order of event_id."""
-    hour = fn.minute_stamp(F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    """JSON array files named after an hour's first minute, its rows in order of event_id, ARRAY_ROWS to a file."""
     fields = [c for c in rows.columns if c not in ("event_id", "ts")]
-    listed = F.array_sort(F.collect_list(F.struct("event_id", F.struct(*fields).alias("row"))))
-    arrays = rows.groupBy(hour.alias("stamp")).agg(listed.alias("all"))
+    hours = rows.withColumn("stamp", fn.minute_stamp(F.date_trunc("hour", "ts").cast("timestamp_ntz")))
+    placed = ops.row_positions(hours, "stamp", "event_id", "place").withColumn("part", F.expr(f"place div {ARRAY_ROWS}"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = F.array_sort(F.collect_list(F.struct("place", F.struct(*fields).alias("row"))))
+    arrays = placed.repartition(tasks, "stamp", "part").groupBy("stamp", "part").agg(listed.alias("all"))
     value = F.to_json(F.transform("all", lambda x: x["row"]), {"ignoreNullFields": "false"})
-    arrays.select("stamp", value.alias("value")).write.partitionBy("stamp").text(root)
+    arrays.select("stamp", "part", value.alias("value")).write.partitionBy("stamp", "part").text(root)
     return root
 
 
-def json_array_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules over batches whose fields hold numbers, texts or blanks, read as VARIANT."""
+def _whole_hours(found: DataFrame, file: str = "file") -> DataFrame:
+    """Places within an hour from the places within its files."""
+    before = F.regexp_extract(file, "/part=([0-9]+)/", 1).cast("bigint") * ARRAY_ROWS
+    return found.withColumn("row_index", F.col("row_index") + before).drop(file)
+
+
+def _array_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that hold numbers, texts or blanks."""
     event = F.col("event_id")
-    rows = _table(spark, sf, "events").select(
+    return _table(spark, sf, "events").select(
         "event_id",
         "ts",
         (event % 7).alias("booking_id"),
@@ -371,20 +402,27 @@ def json_array_anomalies(spark: SparkSession, sf: str) -> DataFrame:
         F.when(event % 11 == 0, "").otherwise(fn.time_text(F.col("ts"))).alias("booking_time"),
         F.when(event % 5 == 0, None).otherwise(F.col("event_type")).alias("status"),
     )
-    root = _array_files(rows, scratch_dir(spark, "booking-arrays"))
-    read = sources.read_json_batches(spark, root, schemas.DIRTY_BOOKINGS)
-    found = ops.row_anomalies(read, fn.booking_rules(read, valid_statuses=STATUSES))
-    return found.withColumn("anomalies", F.concat_ws("; ", "anomalies"))
 
 
-def json_array_page_visits(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _table(spark, sf, "events").select(
+def _array_visits(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "events").select(
         "event_id",
         "ts",
         F.col("event_id").alias("id"),
         F.round(F.col("value") * 100).cast("bigint").alias("page_visits"),
     )
-    root = _array_files(rows, scratch_dir(spark, "visit-arrays"))
+
+
+def json_array_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules over batches read as VARIANT."""
+    root = _array_files(_array_bookings(spark, sf), scratch_dir(spark, "booking-arrays"))
+    read = _whole_hours(sources.read_json_batches(spark, root, schemas.DIRTY_BOOKINGS, file="file"))
+    found = ops.row_anomalies(read, fn.booking_rules(read, valid_statuses=STATUSES))
+    return found.withColumn("anomalies", F.concat_ws("; ", "anomalies"))
+
+
+def json_array_page_visits(spark: SparkSession, sf: str) -> DataFrame:
+    root = _array_files(_array_visits(spark, sf), scratch_dir(spark, "visit-arrays"))
     return ops.avg_page_visits(sources.read_json_rows(spark, root, schemas.PAGE_VISITS), "batch_minute")
 
 
@@ -451,6 +489,108 @@ def stream_monthly_bookings(spark: SparkSession, sf: str) -> DataFrame:
     return streaming.latest_counts(spark, log, "booking_count")
 
 
+def stream_arriving_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as bookings; the prices of every second month arrive only after them."""
+    root, listings, log = (scratch_dir(spark, d) for d in ("bookings-in", "months-in", "month-log"))
+    checkpoint = scratch_dir(spark, "checkpoint")
+    sinks.write_csv(_dated_bookings(spark, sf), root, header=True)
+    months = _urgent_snapshots(spark, sf)
+    for rest in (0, 1):
+        some = months.where(F.substring("snapshot_month", 6, 2).cast("int") % 2 == rest)
+        mode = "append" if rest else "errorifexists"
+        sinks.write_csv(some, listings, header=True, partition_by=["snapshot_month"], mode=mode)
+        plans.stream_bookings(spark, root, listings, log, checkpoint, delay="4000 days").awaitTermination()
+    found = plans.arrived_bookings(spark, log)
+    return found.select("window_start", "listing_id", "name", F.col("price").cast("double").alias("price"), "booking_count")
+
+
+def stream_late_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """The second half of the month first, then the first half, which is late: kept, and folded by the job."""
+    root, path, checkpoint = (scratch_dir(spark, d) for d in ("late-in", "late-log", "checkpoint"))
+    events = _table(spark, sf, "events")
+    log = streaming.CountLog(
+        path, events.schema, "ts", ("event_type",), {"booking_count": F.count("event_id")}, delay="10 minutes"
+    )
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part, some in enumerate((F.col("ts") >= middle, F.col("ts") < middle)):
+        sinks.write_table(events.where(some), f"{root}/part-{part}")
+        stream = streaming.file_stream(spark, root, events.schema, recursiveFileLookup=True)
+        log.write(stream, checkpoint).awaitTermination()
+    log.fold_late(spark)
+    return log.rows(spark)
+
+
+def stream_json_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's counterpart of ``anomaly_counts``, over array files that arrive in several batches."""
+    root = _array_files(_array_bookings(spark, sf), scratch_dir(spark, "booking-arrays"))
+    out = scratch_dir(spark, "streamed-quality")
+    plans.stream_quality(
+        spark, root, out, scratch_dir(spark, "checkpoint"), statuses=STATUSES, max_files=400
+    ).awaitTermination()
+    return plans.streamed_anomaly_counts(spark, out)
+
+
+def stream_json_page_visits(spark: SparkSession, sf: str) -> DataFrame:
+    root = _array_files(_array_visits(spark, sf), scratch_dir(spark, "visit-arrays"))
+    out = scratch_dir(spark, "streamed-visits")
+    plans.stream_page_visits(spark, root, out, scratch_dir(spark, "checkpoint"), max_files=400).awaitTermination()
+    return plans.streamed_page_visits(spark, out)
+
+
+# Rows that do not fit, minutes done later, tables that join in place ---------
+
+
+def csv_rescued(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 13th record cut short, every 17th too long, with bad numbers and times in between."""
+    event, path = F.col("event_id"), scratch_dir(spark, "spoilt-csv")
+    fields = [
+        event.cast("string"),
+        F.when(event % 7 == 0, F.concat(F.lit("u"), "user_id")).otherwise(F.col("user_id").cast("string")),
+        F.when(event % 11 == 0, "soon").otherwise(fn.time_text(F.col("ts"))),
+        F.col("event_type"),
+    ]
+    record = F.when(event % 13 == 0, F.concat_ws(",", *fields[:2])).otherwise(
+        F.concat_ws(",", *fields, F.when(event % 17 == 0, '"x, y"'))
+    )
+    _table(spark, sf, "events").select(record).write.text(path)
+    schema = StructType([schemas.BOOKINGS[c] for c in ("booking_id", "listing_id", "booking_time", "status")])
+    rows = sources.read_csv_rescued(spark, path, schema, header=False, multi_line=False)
+    bad = F.col("_rescued.bad")
+    return rows.select(
+        *schema.fieldNames(),
+        F.col("_rescued.problem").alias("problem"),
+        F.col("_rescued.record").alias("record"),
+        bad["listing_id"].alias("bad_listing_id"),
+        bad["booking_time"].alias("bad_booking_time"),
+    )
+
+
+def catch_up_bookings(spark: SparkSession, sf: str) -> DataFrame:
+    """``minute_snapshot_bookings`` by a ledger: some minutes first, then those that are missing."""
+    ledger = ops.Ledger(scratch_dir(spark, "ledger"))
+    ledger.open(spark)
+    bookings, snapshots = _event_bookings(spark, sf), _purchase_snapshots(spark, sf)
+    first, last = (fn.time_text(f("booking_time")) for f in (F.min, F.max))
+    start, end = bookings.agg(first, last).first()
+    end = str(datetime.fromisoformat(end) + timedelta(minutes=1))
+    for bounds in (("2024-01-10 12:00:00", "2024-01-12 00:00:00"), (start, end)):
+        minutes = ledger.missing(spark, *bounds)
+        rows = bookings.where(ops.in_minutes(F.col("booking_time"), minutes))
+        ledger.publish(ops.snapshot_bookings(snapshots, rows, by="minute"), minutes)
+    return ledger.rows(spark)
+
+
+def bucketed_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """``reviews_per_listing`` over bucketed tables, joined without a shuffle."""
+    tables = []
+    lines = _table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("listing_id"), "l_shipdate")
+    parts = ops.daily_counts(lines, "l_orderkey", "l_shipdate")
+    for rows, key in ((_part_listings(spark, sf), "id"), (parts, "listing_id")):
+        path = scratch_dir(spark, "bucketed")
+        tables.append(sinks.write_bucketed(rows, path.rpartition("/")[2].replace("-", "_"), path, [key], buckets=16))
+    return ops.counts_per_listing(*tables, ["name"], "num_reviews")
+
+
 QUERIES = (
     reviews_per_listing,
     top_listings,
@@ -489,6 +629,13 @@ QUERIES = (
     stream_static_bookings,
     stream_monthly_bookings,
     stream_hourly_score,
+    stream_arriving_months,
+    stream_late_bookings,
+    stream_json_anomalies,
+    stream_json_page_visits,
+    csv_rescued,
+    catch_up_bookings,
+    bucketed_reviews,
 )
 
 
@@ -610,6 +757,23 @@ WITH dirty AS (
 )
 """
 
+_ARRAY_ROWS = """
+WITH t AS (
+  SELECT date_trunc('hour', ts) AS batch_minute, event_id, user_id, event_type,
+         row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id) - 1 AS row_index
+  FROM events
+), found AS (
+  SELECT batch_minute, row_index, concat_ws('; ',
+    CASE WHEN event_id % 7 = 0 THEN 'Missing booking_id' END,
+    CASE WHEN user_id = 0 THEN 'Missing user_id' END,
+    CASE WHEN event_id % 11 = 0 THEN 'Missing booking_time' END,
+    CASE WHEN event_id % 5 = 0 OR event_type = '' THEN 'Missing status'
+         WHEN event_type NOT IN ('view', 'click', 'purchase')
+           THEN 'Invalid status: ' || event_type END) AS anomalies
+  FROM t
+)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return _training_data()[1] | {
@@ -703,26 +867,18 @@ def oracle_sql() -> dict[str, str]:
                                   ELSE text END AS text
               FROM documents)
             SELECT doc_id, text FROM t UNION ALL SELECT CAST(-1 AS BIGINT), text FROM t""",
-        "json_array_anomalies": """
-            WITH t AS (
-              SELECT date_trunc('hour', ts) AS batch_minute, event_id, user_id, event_type,
-                     row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id) - 1
-                       AS row_index
-              FROM events
-            ), found AS (
-              SELECT batch_minute, row_index, concat_ws('; ',
-                CASE WHEN event_id % 7 = 0 THEN 'Missing booking_id' END,
-                CASE WHEN user_id = 0 THEN 'Missing user_id' END,
-                CASE WHEN event_id % 11 = 0 THEN 'Missing booking_time' END,
-                CASE WHEN event_id % 5 = 0 OR event_type = '' THEN 'Missing status'
-                     WHEN event_type NOT IN ('view', 'click', 'purchase')
-                       THEN 'Invalid status: ' || event_type END) AS anomalies
-              FROM t)
-            SELECT * FROM found WHERE anomalies <> ''""",
+        "json_array_anomalies": f"{_ARRAY_ROWS} SELECT * FROM found WHERE anomalies <> ''",
+        "stream_json_anomalies": f"""{_ARRAY_ROWS}
+            SELECT batch_minute, count(*) FILTER (WHERE anomalies <> '') AS num_anomalies
+            FROM found GROUP BY batch_minute""",
         "json_array_page_visits": """
             SELECT date_trunc('hour', ts) AS batch_minute,
                    avg(CAST(round(value * 100) AS BIGINT)) AS avg_page_visits
             FROM events GROUP BY ALL""",
+        "stream_json_page_visits": """
+            SELECT date_trunc('hour', ts) AS batch_minute,
+                   avg(CAST(round(value * 100) AS BIGINT)) AS avg_page_visits
+            FROM events GROUP BY ALL""",
         "csv_all_strings": _SCORES,
         "csv_inferred": _BOOKINGS,
         "json_roundtrip": "SELECT * FROM events",
@@ -736,4 +892,38 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL""",
         "stream_hourly_score": _HOURLY.format(key="listing_id"),
         "stream_monthly_bookings": _MINUTE_SNAPSHOTS.format(minute="window_start"),
+        "stream_arriving_months": """
+            WITH snapshots AS (
+              SELECT c_custkey AS id, c_name AS name, max(o_totalprice) AS price,
+                     strftime(o_orderdate, '%Y-%m') AS snapshot_month
+              FROM customer JOIN orders ON c_custkey = o_custkey
+              WHERE o_orderpriority = '1-URGENT'
+              GROUP BY ALL
+            )
+            SELECT date_trunc('minute', o_orderdate) AS window_start, id AS listing_id, name, price,
+                   count(o_orderkey) AS booking_count
+            FROM snapshots JOIN orders ON id = o_custkey AND snapshot_month = strftime(o_orderdate, '%Y-%m')
+            GROUP BY ALL""",
+        "stream_late_bookings": _PER_MINUTE.format(window="window_start", key="event_type"),
+        "csv_rescued": """
+            WITH fields AS (
+              SELECT event_id, event_id % 13 = 0 AS short, event_id % 17 = 0 AS surplus, event_type,
+                     user_id, event_id % 7 = 0 AS no_listing, event_id % 11 = 0 AS no_time, ts,
+                     CASE WHEN event_id % 7 = 0 THEN 'u' ELSE '' END || user_id AS listing,
+                     CASE WHEN event_id % 11 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time
+              FROM events
+            )
+            SELECT event_id AS booking_id, CASE WHEN NOT no_listing THEN user_id END AS listing_id,
+                   CASE WHEN NOT (short OR no_time) THEN date_trunc('second', ts) END AS booking_time,
+                   CASE WHEN NOT short THEN event_type END AS status,
+                   CASE WHEN short THEN 'short' WHEN surplus THEN 'surplus'
+                        WHEN no_listing OR no_time THEN 'bad text' END AS problem,
+                   CASE WHEN short THEN event_id || ',' || listing
+                        WHEN surplus THEN event_id || ',' || listing || ',' || time || ',' || event_type || ',"x, y"'
+                   END AS record,
+                   CASE WHEN no_listing THEN listing END AS bad_listing_id,
+                   CASE WHEN no_time AND NOT short THEN time END AS bad_booking_time
+            FROM fields""",
+        "catch_up_bookings": _MINUTE_SNAPSHOTS.format(minute="batch_minute"),
+        "bucketed_reviews": _REVIEWS,
     }

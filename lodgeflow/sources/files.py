@@ -131,21 +131,23 @@ def read_json_rows(
 
 
 def read_json_batches(
-    spark: SparkSession, path: str | list[str], schema: StructType
+    spark: SparkSession, path: str | list[str], schema: StructType, *, file: str | None = None
 ) -> DataFrame:
     """As :func:`read_json_rows`, plus ``row_index``: the 0-based place in its file.
 
     The index comes from the array itself, so no window or shuffle is needed.
+    ``file`` names a column for the file's path.
     A file is a minute's batch and is read as one value; broken JSON fails the
     query. For larger batches use JSON Lines and
     :func:`lodgeflow.operators.row_positions`.
     """
     files = spark.read.text(path, wholetext=True)
-    return json_batches(files.select("value", F.col("_metadata.file_path").alias("file")), schema, strict=True)[0]
+    files = files.select("value", F.col("_metadata.file_path").alias("file"))
+    return json_batches(files, schema, strict=True, file=file)[0]
 
 
 def json_batches(
-    files: DataFrame, schema: StructType, *, strict: bool = False
+    files: DataFrame, schema: StructType, *, strict: bool = False, file: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of ``files`` (``value``: a JSON array, ``file``: its path), and the files that hold none.
 
@@ -156,6 +158,9 @@ def json_batches(
     batch = F.from_json("value", array, {"mode": mode})
     rows = files.select(
         batch_minute_from_path(F.col("file")).alias("batch_minute"),
+        *([F.col("file").alias(file)] if file else []),
         F.posexplode(batch).alias("row_index", "row"),
-    ).select("batch_minute", F.col("row_index").cast("bigint").alias("row_index"), "row.*")
+    ).select(
+        "batch_minute", F.col("row_index").cast("bigint").alias("row_index"), *([file] if file else []), "row.*"
+    )
     return rows, files.where(batch.isNull())
