@@ -13,8 +13,8 @@ so far finds each toxic text's worst windows and the clean texts' windows that
 look worst, and the model is fitted anew.
 
 Bound: at most SAMPLE_ROWS labelled texts of each class are fitted, those with the
-smallest hashes of their ids, of which at most WINDOWS windows of each are taken
-per turn. Everything else covers all rows.
+smallest hashes of their ids, of which at most FIRST_WINDOWS windows of each are
+taken in the first turn and WINDOWS in later ones. Everything else covers all rows.
 
 Defined cases: null and wordless texts score the share of toxic labels, as does
 every text if labels of one class only are given (0.0 without any). Labels other
@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import landed, map_rows
 
-SAMPLE_ROWS, WINDOWS, TURNS = 1_700, 4, 3
+SAMPLE_ROWS, FIRST_WINDOWS, WINDOWS, TURNS = 1_700, 12, 4, 3
 #: Words of a window, n-gram lengths (word boundaries count as a character), hash buckets, dimensions.
 WINDOW_WORDS, SIZES, BUCKET_BITS, DIMENSIONS = 4, (3, 4, 5), 17, 8
 #: Rounds over the windows, windows of a step, least steps of a round, their size for the softmax, and how much larger
 #: steps of all vectors together are.
-EPOCHS, BATCH, STEPS, RATE, PACE, SEED = 10, 512, 24, 0.1, 1000, 11
+EPOCHS, BATCH, STEPS, RATE, PACE, SEED = 10, 512, 24, 0.1, 2000, 11
 #: Characters that are looked at at once, and the longest wait for a word's end there.
 STRETCH, LONGEST_WORD = 1 << 20, 1 << 12
 _MULTIPLIER, _MIX = 0x100000001B3, 0x9E3779B97F4A7C15
@@ -192,7 +192,7 @@ def _chosen(model: Model | None) -> Callable[..., Iterator[tuple]]:
         for key, label, text in zip(keys, labels, texts):
             found = []  # of (rank, window): those of the lowest ranks
             for part in stretches(text or ""):
-                found = sorted(found + list(_ranked(model, part, key)))[:WINDOWS]
+                found = sorted(found + list(_ranked(model, part, key)))[: WINDOWS if model else FIRST_WINDOWS]
             for k, (rank, window) in enumerate(found):
                 if model is None or not label or k == 0:
                     yield key, label, window
@@ -210,7 +210,7 @@ def _ranked(model: Model | None, text: str, key: int) -> Iterator[tuple[float, s
     else:
         ranks = -_margins(model, text)
     spaced = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-    for k in np.argsort(ranks)[:WINDOWS]:
+    for k in np.argsort(ranks)[: WINDOWS if model else FIRST_WINDOWS]:
         yield float(ranks[k]), " ".join(spaced[edges[k] : edges[k + 1]])
 
 
