@@ -2,20 +2,29 @@
 
 The pages of a host are told apart by layout: which tags and classes occur below
 which. The pages of a layout are aligned with one of them, the reference page,
-which has most of the nodes that nearly all of them have, by simple tree matching: two nodes match if their tag and class agree, and the
-children of matched nodes, however many, are aligned in order so that most nodes
-match; where siblings have the same tag and class, equal ones are paired first. For
-each node of the reference the votes of all pages of the layout are counted.
-Nodes whose text is constant are template; varying nodes are slots and hold
-content, unless tag or class names them a menu, header, footer, sidebar, notice,
-advert, form, script, style or comment. Nodes inside an article are slots even
-where a host repeats them, as the markup itself says what they are.
+which has most of the nodes that nearly all of them have, by simple tree matching:
+two nodes match if their tag and class agree, and the children of matched nodes,
+however many, are aligned in order so that most nodes match; where siblings have
+the same tag and class, equal ones are paired first. For each node of the
+reference the votes of all pages of the layout are counted. Template are the nodes
+whose text is constant, and the lists of links that nearly all pages have at the
+same place, whatever their labels. Other nodes are slots and hold content. Nodes
+inside an article are slots even where a host repeats them, as the markup itself
+says what they are. Where the template would be most of a page, its pages are
+versions of one another rather than different pages, and it is not used.
+
+Within the slots, tags that never hold main text are left out, and so are elements
+that a class, role or id names a menu, sidebar, advert, notice or the like, as far
+as the tree agrees: a name counts as a whole word ("sidebar", "reader-comments",
+"sidebar-left", but not "has-sidebar" or "related-work"), never for a paragraph or
+heading, never round an article, and on pages without one never for an element
+that holds most of the page's text. The same holds for forms.
 
 A wrapper is a reference tree and the numbers of its template nodes. It is
 learned from all distinct page trees of the layout, or of the host for layouts
-with fewer than ``MIN_PAGES``; equal trees vote once, so
-copies of a page don't turn its text into template. Trees hold hashes, not
-texts, and only counts by host, layout and node are gathered.
+with fewer than ``MIN_PAGES``; equal trees vote once, so copies of a page don't
+turn its text into template. Trees hold hashes, not texts, and only counts by
+host, layout and node are gathered.
 
 Defined cases: a null, empty or textless html gives the empty text; a page
 without a host belongs to the host ""; a host with fewer than ``MIN_PAGES``
@@ -23,14 +32,14 @@ distinct trees has no template nodes; repeated rows come back repeated; an empty
 table gives an empty table; unclosed and stray tags are mended as browsers do it
 for the block elements, and anything else that opens with "<" is text. Elements
 nested deeper than ``MAX_DEPTH`` hand their text to the last one above that
-depth. Other columns are not read.
+depth. Very long pages are parsed whole, one at a time. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from collections import OrderedDict
 from html import unescape
 
 import numpy as np
@@ -44,6 +53,12 @@ from lodgeflow.llm.common import landed, per_row
 MIN_PAGES = 3
 CONSTANT = 0.9
 MAX_DEPTH = 100
+#: Links that make a list of links a menu, the share of its text they hold, and the share of a page that is too much for a template.
+LINKS, LINKED, MOST = 3, 0.9, 0.8
+#: Wrappers up to so many bytes are sent to all tasks; beyond, pages are joined with them.
+SENT_BYTES = 32 << 20
+#: Nodes of unpacked reference trees that a task keeps.
+KEPT_NODES = 200_000
 #: Cells of an alignment's table held at a time; larger child lists are halved until they fit.
 CELLS = 1 << 20
 
@@ -54,7 +69,7 @@ BLOCKS = frozenset(
     "menu dialog hr title noscript template iframe object svg canvas select button textarea label option".split()
 )
 DROPPED = frozenset(
-    "head nav header footer aside form menu dialog title noscript template iframe object svg canvas select button "
+    "head nav header footer aside menu dialog title noscript template iframe object svg canvas select button "
     "textarea option".split()
 )
 RAW = frozenset("script style textarea title iframe noscript template svg".split())
@@ -64,8 +79,14 @@ NAMES = frozenset(
     "breadcrumbs sidebar aside header masthead footer notice cookie cookies consent popup modal newsletter subscribe "
     "comment comments share sharing social related".split()
 )
+# What may follow such a word in a name, as it only tells the place or the kind of box, and what turns its meaning round.
+HOLDERS = frozenset(
+    "left right top bottom inner outer wrapper wrap container box area block list item items link links bar buttons "
+    "button slot unit section widget panel column col form".split()
+)
+NEGATIONS = frozenset("has with no without is not".split())
 _ARTICLE = frozenset(("article", "main"))
-_KEPT = frozenset(("html", "body", "article", "main"))
+_UNNAMED = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 
 # What a new element closes when it is still open and nothing of its scope lies between.
 _CLOSES = {
@@ -77,47 +98,70 @@ _P = frozenset(("p",))
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _CLASS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORDS = re.compile(r"[A-Za-z]+")
+_WORDS = re.compile(r"[a-z0-9]+")
+
+
+def named(names: str) -> bool:
+    """Whether one of the names of an element says that it holds no main text."""
+    for token in names.lower().split():
+        words = _WORDS.findall(token)
+        if not words or words[0] in NEGATIONS:
+            continue
+        if words[-1] in NAMES or words[0] in NAMES and HOLDERS.issuperset(words[1:]):
+            return True
+    return False
 
 
 class Node:
-    """An element, or with the signature "#" a run of text between block boundaries."""
+    """An element, or with the signature "#" a run of text between block boundaries.
+
+    ``never`` marks tags, ``maybe`` names and forms that hold no main text.
+    """
 
-    __slots__ = ("sign", "nodes", "text", "dropped", "article")
+    __slots__ = ("sign", "nodes", "text", "never", "maybe", "article", "linked")
 
-    def __init__(self, sign: str, dropped: bool, article: bool, text: str = ""):
-        self.sign, self.dropped, self.article, self.text = sign, dropped, article, text
+    def __init__(self, sign: str, never: bool, article: bool, text: str = "", maybe: bool = False, linked: bool = False):
+        self.sign, self.never, self.article, self.text = sign, never, article, text
+        self.maybe, self.linked = maybe, linked
         self.nodes: list[Node] = []
 
 
 def parsed(html: str) -> Node:
     """The tree of a page's block elements and texts."""
     root = Node("", False, False)
-    stack: list[tuple[str, Node, bool, bool]] = [("", root, False, False)]
+    stack: list[tuple[str, Node, bool]] = [("", root, False)]
     run: list[str] = []
-    at = 0
+    at = links = 0  # links: characters of the run inside links
+    link = False
 
     def flush() -> None:
+        nonlocal links
         if run:
-            text = " ".join(unescape("".join(run)).split())
-            run.clear()
+            raw = "".join(run)
+            text = " ".join(unescape(raw).split())
             if text:
-                _, node, dropped, article = stack[-1]
-                node.nodes.append(Node("#", dropped, article, text))
+                _, node, article = stack[-1]
+                node.nodes.append(Node("#", False, article, text, linked=links >= LINKED * len(raw.strip())))
+            run.clear()
+            links = 0
 
     size = len(html)
     while at < size:
         m = _TAG.search(html, at)
         if not m:
             run.append(html[at:])
+            links += link * (size - at)
             break
         if m.start() > at:
             run.append(html[at : m.start()])
+            links += link * (m.start() - at)
         at = m.end()
         name = m[2]
         if name is None:
             continue
         name = name.lower()
+        if name == "a":
+            link = not m[1]
         if m[1]:
             if name in BLOCKS:
                 flush()
@@ -142,32 +186,68 @@ def parsed(html: str) -> Node:
             stack.pop()
         if name in VOID:
             continue
-        _, parent, dropped, article = stack[-1]
+        _, parent, article = stack[-1]
         names, sign = "", name
         if m[3]:
             found = [(k.lower(), a or b or c) for k, a, b, c in _CLASS.findall(m[3])]
             names = " ".join(v for _, v in found)
             sign += "".join(f".{v}" for k, v in found if k == "class")
-        if name in DROPPED or name not in _KEPT and names and any(w.lower() in NAMES for w in _WORDS.findall(names)):
-            dropped = True
         article = article or name in _ARTICLE
         if len(stack) <= MAX_DEPTH:
-            node = Node(sign, dropped, article)
+            maybe = name == "form" or bool(names) and name not in _UNNAMED and named(names)
+            node = Node(sign, name in DROPPED, article, maybe=maybe)
             parent.nodes.append(node)
             parent = node
-        stack.append((name, parent, dropped, article))
+        stack.append((name, parent, article))
     flush()
     return root
 
 
+def blocks(root: Node, template: set[int]) -> list[str]:
+    """The texts of a tree outside ``template`` (ids of nodes) and outside what tags and names leave out."""
+    chars: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.never or id(node) in template:
+            continue
+        order.append(node)
+        stack += node.nodes
+    for node in reversed(order):
+        below = [n for n in node.nodes if id(n) in chars]
+        chars[id(node)] = len(node.text) + sum(chars[id(n)] for n in below)
+        holds[id(node)] = any(n.article and not node.article or holds[id(n)] for n in below)
+    articles, total = holds[id(root)], chars[id(root)]
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if id(node) not in chars:
+            continue
+        if node.maybe and not holds[id(node)] and (articles or 2 * chars[id(node)] <= total):
+            continue
+        if node.text:
+            out.append(node.text)
+        stack += node.nodes[::-1]
+    return out
+
+
 class Shape:
     """A tree for alignment: texts are hashes."""
 
-    __slots__ = ("sign", "hash", "nodes", "number", "article", "node", "size", "shared", "key", "kind")
+    __slots__ = (
+        "sign", "hash", "nodes", "number", "article", "node", "size", "shared", "key", "kind", "links", "chars", "linked",
+    )
 
     def __init__(self, sign, number, article, node=None):
         self.sign, self.number, self.article, self.node = sign, number, article, node
         self.hash, self.nodes = 0, []
+        self.links = self.chars = self.linked = 0
+
+    @property
+    def menu(self) -> bool:
+        """A list of links, whatever they say."""
+        return self.links >= LINKS and self.linked >= LINKED * self.chars
 
 
 def shaped(root: Node) -> Shape:
@@ -176,11 +256,16 @@ def shaped(root: Node) -> Shape:
 
     def build(node: Node) -> Shape:
         shape = Shape(node.sign, next(numbers), node.article, node)
+        shape.chars = len(node.text)
         if node.article:  # slots all the way down, which are no template
-            shape.hash = xxh64_intdigest("\x00".join([node.sign, *_texts(node)]))
+            texts = _texts(node)
+            shape.hash, shape.chars = xxh64_intdigest("\x00".join([node.sign, *texts])), sum(map(len, texts))
         else:
             shape.nodes = [build(child) for child in node.nodes]
             shape.hash = xxh64_intdigest("\x00".join([node.sign, node.text, *(str(s.hash) for s in shape.nodes)]))
+            shape.links = int(node.linked) + sum(s.links for s in shape.nodes)
+            shape.linked = node.linked * len(node.text) + sum(s.linked for s in shape.nodes)
+            shape.chars += sum(s.chars for s in shape.nodes)
         return shape
 
     return build(root)
@@ -197,7 +282,7 @@ def _texts(node: Node) -> list[str]:
 
 
 def packed(shape: Shape) -> list:
-    return [shape.sign, shape.hash, int(shape.article), [packed(s) for s in shape.nodes]]
+    return [shape.sign, shape.hash, int(shape.article), [packed(s) for s in shape.nodes], shape.links, shape.linked, shape.chars]
 
 
 def unpacked(data: list) -> Shape:
@@ -206,6 +291,8 @@ def unpacked(data: list) -> Shape:
     def build(data: list) -> Shape:
         shape = Shape(data[0], next(numbers), bool(data[2]))
         shape.hash, shape.nodes = data[1], [build(d) for d in data[3]]
+        if len(data) > 4:
+            shape.links, shape.linked, shape.chars = data[4:]
         return shape
 
     return build(data)
@@ -366,45 +453,80 @@ def _text_of(html: bytes | None) -> str:
     return (html or b"").decode("utf-8", "replace")
 
 
-def tree_of(html: bytes | None) -> str:
-    """The shape of a page as JSON."""
-    return json.dumps(packed(shaped(parsed(_text_of(html)))), separators=(",", ":"))
+def tree_of(html: bytes | None) -> dict:
+    """The layout of a page, and its shape as JSON."""
+    root = parsed(_text_of(html))
+    return {"layout": layout_of(root), "tree": json.dumps(packed(shaped(root)), separators=(",", ":"))}
+
+
+class _References:
+    """Unpacked reference trees, the latest ones up to a number of nodes."""
 
+    def __init__(self):
+        self.known: OrderedDict[str, tuple[Shape, int]] = OrderedDict()
+        self.nodes = 0
 
-@lru_cache(4)
-def _reference(tree: str) -> Shape:
-    return unpacked(json.loads(tree))
+    def get(self, tree: str) -> Shape:
+        if tree in self.known:
+            self.known.move_to_end(tree)
+            return self.known[tree][0]
+        size = tree.count("[")
+        self.known[tree] = unpacked(json.loads(tree)), size
+        self.nodes += size
+        while self.nodes > KEPT_NODES and len(self.known) > 1:
+            self.nodes -= self.known.popitem(last=False)[1][1]
+        return self.known[tree][0]
+
+
+_references = _References()
 
 
 def votes(reference: str, tree: str) -> list[int]:
-    """The nodes of the reference that are matched with the same text."""
-    pairs = aligned(_reference(reference), unpacked(json.loads(tree)))
-    return [a.number for a, b in pairs if not a.article and a.hash == b.hash]
+    """The nodes of the reference that are matched with the same text, and as negative numbers its menus matched with menus."""
+    out = []
+    for a, b in aligned(_references.get(reference), unpacked(json.loads(tree))):
+        if not a.article and a.hash == b.hash:
+            out.append(a.number)
+        if a.menu and b.menu:
+            out.append(~a.number)
+    return out
+
+
+def covered(reference: str, template: list[int]) -> float:
+    """The share of the reference's text that a template takes."""
+    fixed, taken = set(template), 0
+    root = unpacked(json.loads(reference))
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.number in fixed or ~node.number in fixed:
+            taken += node.chars
+        else:
+            stack += node.nodes
+    return taken / max(1, root.chars)
 
 
 def extracted(html: bytes | None, reference: str | None, template: list[int] | None) -> str:
     """The blocks of the slots of a page, one to a line."""
     root = parsed(_text_of(html))
-    constant: set[int] = set()
-    if reference is not None and template:
-        shape, fixed = shaped(root), set(template)
-        for a, b in aligned(_reference(reference), shape):
-            if a.number in fixed and a.hash == b.hash:
-                constant.add(id(b.node))
-    out, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if id(node) in constant:
-            continue
-        if node.text and not node.dropped:
-            out.append(node.text)
-        stack += node.nodes[::-1]
-    return "\n".join(out)
+    return "\n".join(blocks(root, _template(root, reference, template)))
 
 
-def layout_of(html: bytes | None) -> str:
+def _template(root: Node, reference: str | None, template: list[int] | None) -> set[int]:
+    """The ids of a tree's nodes that a wrapper knows as template."""
+    if reference is None or not template:
+        return set()
+    fixed = set(template)
+    return {
+        id(b.node)
+        for a, b in aligned(_references.get(reference), shaped(root))
+        if a.number in fixed and a.hash == b.hash or ~a.number in fixed and b.menu
+    }
+
+
+def layout_of(root: Node) -> str:
     """The layout of a page: which signs occur below which, however often, articles apart."""
-    paths, stack = set(), [("", parsed(_text_of(html)))]
+    paths, stack = set(), [("", root)]
     while stack:
         above, node = stack.pop()
         path = f"{above}/{node.sign}"
@@ -427,9 +549,9 @@ def hashes_of(tree: str) -> list[str]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, layout, reference, template) of the layouts of (page_id, host, layout, html) rows."""
-    html = F.col("html").cast("binary")
-    trees = landed(pages.select("page_id", "host", "layout", per_row(tree_of, "string")(html).alias("tree")), "trees")
+    """(host, layout, reference, template) of the layouts of (page_id, host, html) rows."""
+    found = per_row(tree_of, "struct<layout:string, tree:string>")(F.col("html").cast("binary")).alias("found")
+    trees = landed(pages.select("page_id", "host", found).select("page_id", "host", "found.*"), "trees")
     distinct = trees.groupBy("host", "layout", F.xxhash64("tree").alias("h")).agg(
         F.min("page_id").alias("page_id"), F.first("tree").alias("tree")
     )
@@ -474,7 +596,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
         .where(F.col("same") >= CONSTANT * F.col("n"))
     )
     template = counts.groupBy("host", "layout").agg(F.collect_list("node").alias("template"))
-    learned = landed(reference.drop("n").join(template, ["host", "layout"]), "wrappers")
+    trusted = per_row(covered, "double")("reference", "template") <= MOST
+    learned = landed(reference.drop("n").join(template, ["host", "layout"]).where(trusted), "wrappers")
     by = F.when(F.col("n") >= MIN_PAGES, F.col("layout")).otherwise("")
     return layouts.withColumn("by", by).drop("n").join(
         learned.withColumnRenamed("layout", "by"), ["host", "by"]
@@ -484,10 +607,19 @@ def wrappers(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of (page_id, url, html)."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    html = F.col("html").cast("binary")
     pages = pages.select("page_id", "url", F.coalesce(host, F.lit("")).alias("host"), "html")
-    pages = pages.withColumn("layout", per_row(layout_of, "string")(html))
-    # Wrappers are few beside pages; whether they are sent along is left to their size at run time.
-    known = pages.join(wrappers(pages), ["host", "layout"], "left")
-    text = per_row(extracted, "string")(html, "reference", "template")
-    return known.select("page_id", "url", text.alias("text"))
+    html = F.col("html").cast("binary")
+    known = landed(wrappers(pages), "known-wrappers")
+    (size,) = known.agg(F.sum(F.length("reference") + 8 * F.size("template") + 200)).first()
+    if (size or 0) > SENT_BYTES:
+        layout = per_row(tree_of, "struct<layout:string, tree:string>")(html)["layout"]
+        joined = pages.withColumn("layout", layout).join(known, ["host", "layout"], "left")
+        return joined.select("page_id", "url", per_row(extracted, "string")(html, "reference", "template").alias("text"))
+    by_layout = {(r.host, r.layout): (r.reference, r.template) for r in known.collect()}
+    sent = pages.sparkSession.sparkContext.broadcast(by_layout)
+
+    def text_of(page: bytes | None, host: str) -> str:
+        root = parsed(_text_of(page))
+        return "\n".join(blocks(root, _template(root, *sent.value.get((host, layout_of(root)), (None, None)))))
+
+    return pages.select("page_id", "url", per_row(text_of, "string")(html, "host").alias("text"))

@@ -112,3 +112,88 @@ def test_template_does_not_hang_on_the_first_page(spark):
     assert {got[10 + k] for k in range(12)} == {f"story {k}" for k in range(12)}
     assert [got[30 + k] for k in range(5)] == [f"item {k}" for k in range(5)]
     assert (got[0], got[1], got[2]) == ("", "", "Error")
+
+
+def texts(spark, pages, host="http://h.example/"):
+    rows = [(k, f"{host}{k}", h) for k, h in enumerate(pages)]
+    found = html_wrapper.main_texts(table(spark, rows)).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.page_id)]
+
+
+MENU = "<ul><li><a href=/a>{}</a></li><li><a href=/b>{}</a></li><li><a href=/c>{}</a></li></ul>"
+
+
+def _site(k):
+    menu = MENU.format(*(f"{w} {k}" for w in ("News", "Shop", "Help")))
+    return f"<body><div>My site</div>{menu}<div><h2>Title {k}</h2><p>first {k} of a story</p><p>second {k}</p></div><div>Imprint</div></body>"
+
+
+def test_the_wrapper_decides_without_names_and_articles(spark, monkeypatch):
+    """Menus whose labels vary, a fixed head and foot: all found by alignment, and kept with the wrapper switched off."""
+    pages = [_site(k) for k in range(6)]
+    want = [f"Title {k}\nfirst {k} of a story\nsecond {k}" for k in range(6)]
+    assert texts(spark, pages) == want
+    off = [html_wrapper.extracted(p.encode(), None, None) for p in pages]
+    assert all("News" in t and "My site" in t and "Imprint" in t for t in off)
+    monkeypatch.setattr(html_wrapper, "SENT_BYTES", -1)  # pages joined with their wrappers
+    assert texts(spark, pages) == want
+
+
+def test_versions_of_one_story_keep_it(spark):
+    """Pages that differ in a date only are no different pages, also beside another page of the site."""
+    story = "<body><div><h1>The long story</h1><p>" + "It goes on and on. " * 9 + "</p><p>And ends.</p><div>{}</div></div></body>"
+    versions = [story.format(f"2025-01-0{k}") for k in range(1, 5)]
+    assert all("It goes on" in t and t.endswith(f"0{k}") for k, t in enumerate(texts(spark, versions), 1))
+
+
+def test_names_are_whole_words_and_give_way_to_the_tree(spark):
+    body = "<h1>Title</h1><p>The text of the story, which is longer than all else on the page.</p>"
+    whole = "Title\nThe text of the story, which is longer than all else on the page."
+    pages = {
+        f'<div class="content has-sidebar">{body}</div>': whole,
+        f'<div class="sidebar">{body}</div><p>end</p>': f"{whole}\nend",
+        f'<div class="page"><div class="sidebar">by the side</div>{body}</div>': whole,
+        f'<div class="sidebar"><article>{body}</article></div>': whole,
+        f'<article>{body}<div class="related-work">see also</div><p id="social">on society</p></article>': f"{whole}\nsee also\non society",
+        f'<article>{body}<section class="comments-on-the-law">on law</section></article>': f"{whole}\non law",
+        f'<article>{body}<div class="reader-comments"><p>no</p></div><div class="share-buttons">no</div></article>': whole,
+        f'<div class="ad-slot">' + "buy " * 99 + f"</div><article>{body}</article>": whole,
+        f"<form>{body}<button>send</button></form>": whole,
+        f"<form>search</form><div>{body}</div>": whole,
+        f'<ul class="nav-links"><li>one<li>two</ul>{body}': whole,
+    }
+    got = texts(spark, pages, "http://x")
+    assert got == list(pages.values())
+
+
+def test_part_of_names():
+    yes = ["ad", "top ad", "Sidebar", "sidebar-left", "reader-comments", "article__comments", "cookie-box", "share_buttons"]
+    no = ["has-sidebar", "no-comments", "related-work", "comments-on-the-law", "adventure", "shared", "without-ads", "", "-"]
+    assert all(map(html_wrapper.named, yes)) and not any(map(html_wrapper.named, no))
+
+
+def test_lists_of_links_inside_a_story_stay(spark):
+    """A list of links is a menu only where nearly all pages have it; links within sentences make none."""
+    pages = [_site(k).replace("<p>second", (MENU.format("x", "y", k) if k == 2 else "") + "<p>second") for k in range(12)]
+    pages = [p.replace("first", "<a href=/>first</a>") for p in pages]
+    got = texts(spark, pages)
+    assert got[2] == "Title 2\nfirst 2 of a story\nx\ny\n2\nsecond 2" and got[3] == "Title 3\nfirst 3 of a story\nsecond 3"
+
+
+def test_the_wrapper_decides_on_the_given_pages(spark):
+    """With names and tags taken away, alignment still finds the menus of hosts with enough pages."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    known = {(r.host, r.layout): r for r in html_wrapper.wrappers(rows.selectExpr("page_id", "lower(parse_url(url, 'HOST')) AS host", "html")).collect()}
+    removed = 0
+    for r in rows.selectExpr("lower(parse_url(url, 'HOST')) AS host", "html").collect():
+        root = html_wrapper.parsed(r.html)
+        wrapper = known.get((r.host, html_wrapper.layout_of(root)))
+        if wrapper:
+            taken = html_wrapper._template(root, wrapper.reference, wrapper.template)
+            nodes, stack = [], [root]
+            while stack:
+                node = stack.pop()
+                nodes.append(node)
+                stack += node.nodes
+            removed += any(id(n) in taken and "a" not in n.sign for n in nodes if n.sign == "nav" or n.sign == "ul")
+    assert removed >= 100
