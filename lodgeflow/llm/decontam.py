@@ -10,8 +10,9 @@ path of the current state.
 
 Items are taken in blocks of at most ``MAX_BLOCK_WORDS`` words (a longer item is
 its own block), so that what is broadcast has a bounded size however large the
-benchmark is; the blocks pass over a document one after the other, and their hits
-are united.
+benchmark is. A benchmark of several blocks takes a pass over the documents for
+each, one after the other, so that no task ever holds two automata; each pass
+writes the hits of the documents that have some, and these are united by document.
 
 Defined cases: a null or wordless text has no words and is clean; a null or
 wordless item matches nothing; items that repeat a text all count; rows repeated
@@ -22,13 +23,15 @@ columns of both inputs are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.llm.common import per_row, utf8
+from lodgeflow.llm.common import fresh, landed, per_row, utf8
 
 WINDOW = 13
 #: Words of the items that one automaton may hold.
@@ -186,29 +189,49 @@ def with_hits(documents: DataFrame, benchmark: DataFrame, column: str, window: i
     Spans are maximal runs of hit words, as word positions with an exclusive end;
     items are the ids of the items with an occurring window, each once, sorted.
     """
-    context = documents.sparkSession.sparkContext
-    hits = F.lit(None).cast(_HITS)
-    for block in _blocks(benchmark):
-        shared, built = context.broadcast(block), []
-
-        def find(text, before, shared=shared, built=built):
-            if not built:  # once for each task
-                built.append(Automaton(((i, normalised(t)) for i, t in shared.value), window))
-            words = normalised(text)
-            spans, items = built[0].hits(words)
-            if before and before["spans"]:
-                spans = _merged(spans + [(x["start"], x["end"]) for x in before["spans"]])
-            if before:
-                items |= set(before["items"])
-            return {"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items, key=lambda i: (i is not None, i))}
-
-        hits = per_row(find, _HITS)(utf8("text"), hits)
-        documents = documents.withColumn(column, hits)
-        hits = F.col(column)
-    if column not in documents.columns:  # no item with a word
-        count = per_row(lambda text: {"n_words": len(normalised(text)), "spans": [], "items": []}, _HITS)
-        documents = documents.withColumn(column, count(utf8("text")))
-    return documents
+    blocks = _blocks(benchmark)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return documents.withColumn(column, _found(documents, first, window)(utf8("text")))
+    # Rows are told apart by a number that is written down, as ids may repeat or be null.
+    key = fresh(documents, "_row")
+    documents = landed(documents.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    found = []
+    for block in chain((first, second), blocks):
+        hits = documents.select(key, _found(documents, block, window)(utf8("text")).alias("hits"))
+        # The first block's rows bring the number of words of every document.
+        found.append(landed(hits if not found else hits.where(F.size("hits.spans") > 0), "hits"))
+    merged = reduce(DataFrame.unionByName, found).groupBy(key).agg(F.collect_list("hits").alias("hits"))
+    united = merged.select(key, per_row(_united, _HITS)("hits").alias(column))
+    return documents.join(united, key).drop(key)
+
+
+def _found(documents: DataFrame, block: list[tuple[int, bytes]], window: int) -> Callable[[Column], Column]:
+    """A column function: the hits of one block's automaton, which each task builds once."""
+    shared, built = documents.sparkSession.sparkContext.broadcast(block), []
+
+    def find(text: bytes) -> dict:
+        if not built:
+            built.append(Automaton(((i, normalised(t)) for i, t in shared.value), window))
+        words = normalised(text)
+        spans, items = built[0].hits(words)
+        return _hits(len(words), spans, items)
+
+    return per_row(find, _HITS)
+
+
+def _hits(n_words: int, spans: list[tuple[int, int]], items: set) -> dict:
+    return {
+        "n_words": n_words,
+        "spans": [{"start": a, "end": b} for a, b in spans],
+        "items": sorted(items, key=lambda i: (i is not None, i)),
+    }
+
+
+def _united(hits: list[dict]) -> dict:
+    """The hits of several blocks in one document."""
+    spans = _merged([(x["start"], x["end"]) for h in hits for x in h["spans"]])
+    return _hits(hits[0]["n_words"], spans, {i for h in hits for i in h["items"]})
 
 
 def n_hit(hits: str) -> Column:

@@ -20,11 +20,15 @@ are spread over the others; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import landed
 
+log = logging.getLogger(__name__)
+
 DIMENSIONS = ("source", "lang", "topic")
 SEED = 6
 #: Default targets: natural token shares to this power, which lifts small values.
@@ -93,10 +97,11 @@ def _normalised(cells: DataFrame, dimension: str, target: DataFrame) -> DataFram
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """``cells`` plus their raked ``weight``; weights sum to one.
+    """``cells`` plus their raked ``weight`` and whether the raking ``converged``; weights sum to one.
 
     Ends when a whole sweep changes no weight by more than TOLERANCE, or after
-    MAX_SWEEPS, as with targets that contradict each other.
+    MAX_SWEEPS, as with targets that contradict each other; ``converged`` is then
+    false and a warning is logged.
     """
     cells = landed(cells, "cells")
     targets = {d: landed(_normalised(cells, d, t), f"target-{d}") for d, t in targets.items()}
@@ -108,8 +113,9 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         current = landed(current.select(*DIMENSIONS, "tokens", "weight", "before"), "raked")
         (moved,) = current.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()
         if moved is None or moved <= TOLERANCE:
-            break
-    return current.drop("before")
+            return current.drop("before").withColumn("converged", F.lit(True))
+    log.warning("raking has not converged: the last of %d sweeps moved a weight by %.1e", MAX_SWEEPS, moved)
+    return current.drop("before").withColumn("converged", F.lit(False))
 
 
 def probabilities(weighted: DataFrame) -> DataFrame:
@@ -133,7 +139,7 @@ def planned(rows: DataFrame, targets: dict[str, DataFrame] | None = None) -> Dat
 
 
 def mixed(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """``rows`` (as from ``measured``) with ``weight``, ``probability`` and ``sampled``."""
+    """``rows`` (as from ``measured``) with ``weight``, ``probability``, ``converged`` and ``sampled``."""
     # Cells are few; whether they are sent along or shuffled is left to their size at run time.
-    found = rows.join(cells.select(*DIMENSIONS, "weight", "probability"), list(DIMENSIONS))
+    found = rows.join(cells.select(*DIMENSIONS, "weight", "probability", "converged"), list(DIMENSIONS))
     return found.withColumn("sampled", draw(F.col("doc_id")) < F.col("probability"))

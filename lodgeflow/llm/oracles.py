@@ -53,7 +53,8 @@ WITH docs AS (
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-         len(lines) AS n_lines, len(list_distinct(w)) AS n_distinct,
+         len(lines) AS n_lines,
+         list_sum(list_transform(range(0, len(w), 1000), lambda k: len(list_distinct(w[k + 1 : k + 1000])))) AS n_distinct,
          len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) AS n_lettered,
          len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) AS n_upper
   FROM docs LEFT JOIN repeated USING (id)
@@ -63,7 +64,7 @@ WITH docs AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 5 * n_symbols > n_words
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words
-            OR 2 * n_dup_lines > n_lines OR 10 * n_distinct < n_words AND n_words < 5000
+            OR 2 * n_dup_lines > n_lines OR 10 * n_distinct < n_words
             OR 10 * n_lettered < 7 * n_words OR 2 * n_upper > n_words) AS kept
 FROM judged
 """

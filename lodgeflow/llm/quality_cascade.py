@@ -7,9 +7,9 @@ rejects) are estimated; the rules then run in falling order of rejection per
 cost, and a text that one rejects is spared the rest. The order changes what a
 verdict costs, never the verdict.
 
-The query keeps to its SQL counterpart, in which few distinct words are no reason
-to reject a text of 5,000 words or more. The pipeline also runs the rule
-"few_distinct_blocks", which holds at every length (``ALL_LENGTHS``).
+The query returns all base counts of every text, so there the cascade spares only
+the rules' own passes. :func:`kept` gives the verdict alone: repetition is then
+one more rule of the cascade, and what a text's rules don't ask for is not counted.
 
 Defined cases: a null, empty or blank text has no words and fails the base rule;
 text without a repeated window has no repeated words; rows repeated in the input
@@ -20,7 +20,7 @@ rules. Other columns are kept as they are.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import partial
+from functools import cached_property, partial
 from time import perf_counter
 
 import numpy as np
@@ -40,30 +40,55 @@ MAX_REPEAT_PERCENT = 50
 
 
 class Counts:
-    """The base counts of one UTF-8 text."""
+    """The base counts of one UTF-8 text, each worked out when first asked for."""
 
     def __init__(self, text: bytes):
-        self.words = words = text.split()  # on bytes: exactly x20 and x09-x0D
-        self.n_words = len(words)
-        joined = b"".join(words)
-        self.word_chars = len(joined.decode("utf-8", "replace"))
-        self.n_symbols = len(joined) - len(joined.translate(None, SYMBOLS))  # none of them is a space
-        lines = [line for line in text.split(b"\n") if line.strip()]
-        self.n_lines = len(lines)
-        self.n_dup_lines = len(lines) - len(set(lines))
-        self.n_repeat_words, self.n_distinct = _repeated(words)
+        self.text, self.words = text, text.split()  # on bytes: exactly x20 and x09-x0D
+        self.n_words = len(self.words)
+
+    @cached_property
+    def joined(self) -> bytes:
+        return b"".join(self.words)
+
+    @cached_property
+    def word_chars(self) -> int:
+        return len(self.joined.decode("utf-8", "replace"))
+
+    @cached_property
+    def n_symbols(self) -> int:
+        return len(self.joined) - len(self.joined.translate(None, SYMBOLS))  # none of them is a space
+
+    @cached_property
+    def lines(self) -> list[bytes]:
+        return [line for line in self.text.split(b"\n") if line.strip()]
+
+    @property
+    def n_lines(self) -> int:
+        return len(self.lines)
+
+    @cached_property
+    def n_dup_lines(self) -> int:
+        return len(self.lines) - len(set(self.lines))
+
+    @cached_property
+    def n_repeat_words(self) -> int:
+        return _repeated(self.words)
+
+    @property
+    def repetitive(self) -> bool:
+        return 100 * self.n_repeat_words > MAX_REPEAT_PERCENT * self.n_words
 
     @property
     def base_failed(self) -> bool:
-        return self.n_words < MIN_WORDS or 100 * self.n_repeat_words > MAX_REPEAT_PERCENT * self.n_words
+        return self.n_words < MIN_WORDS or self.repetitive
 
 
-def _repeated(words: list[bytes]) -> tuple[int, int]:
-    """Words inside windows that occur twice or more, and distinct words."""
+def _repeated(words: list[bytes]) -> int:
+    """Words inside windows that occur twice or more."""
     known: dict[bytes, int] = {}
     ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
     if len(words) <= WINDOW:
-        return 0, len(known)
+        return 0
     key = ids[: len(ids) - WINDOW + 1]
     for k in range(1, WINDOW):  # numbered anew at each word, so that keys stay small
         key = key * len(known) + ids[k : len(ids) - WINDOW + 1 + k]
@@ -74,44 +99,45 @@ def _repeated(words: list[bytes]) -> tuple[int, int]:
     covered = np.zeros(len(words), bool)
     for k in range(WINDOW):
         covered[starts + k] = True
-    return int(covered.sum()), len(known)
+    return int(covered.sum())
 
 
 def _share(words: list[bytes], test: Callable[[str], bool]) -> float:
     return sum(test(w.decode("utf-8", "replace")) for w in words) / max(len(words), 1)
 
 
+#: Words of a stretch, within which different words are counted: a share that doesn't fall with a text's length.
+BLOCK = 1000
+
+
+def _few_distinct(c: Counts) -> bool:
+    """Whether the words are few in each stretch of the text."""
+    distinct = sum(len(set(c.words[k : k + BLOCK])) for k in range(0, c.n_words, BLOCK))
+    return 10 * distinct < c.n_words
+
+
 #: Name and rejecting test of each further rule. A test is true for a text to reject.
 RULES: dict[str, Callable[[Counts], bool]] = {
     "symbols": lambda c: c.n_symbols > 0.2 * c.n_words,
     "word_length": lambda c: not 2 * c.n_words <= c.word_chars <= 20 * c.n_words,
     "dup_lines": lambda c: 2 * c.n_dup_lines > c.n_lines,
-    "few_distinct": lambda c: c.n_distinct < 0.1 * c.n_words and c.n_words < 5000,
+    "few_distinct": _few_distinct,
     "no_letters": lambda c: _share(c.words, lambda w: any(map(str.isalpha, w))) < 0.7,
     "shouting": lambda c: _share(c.words, str.isupper) > 0.5,
 }
-
-BLOCK = 1000
-
-
-def _few_distinct_blocks(c: Counts) -> bool:
-    """Whether the words are few in each stretch of the text: a measure that doesn't fall with its length."""
-    distinct = sum(len(set(c.words[k : k + BLOCK])) for k in range(0, c.n_words, BLOCK))
-    return 10 * distinct < c.n_words
-
-
-#: ``RULES`` are those of the SQL counterpart, where "few_distinct" spares texts of 5,000 words
-#: and more, as a long text's share of distinct words falls. These judge all lengths.
-ALL_LENGTHS = RULES | {"few_distinct_blocks": _few_distinct_blocks}
+#: The same rules under the name they had when the query spared long texts from one of them.
+ALL_LENGTHS = RULES
+#: With the costly base rule as one of the cascade.
+CASCADE = RULES | {"repetitive": lambda c: c.repetitive}
 
 
 def _trial(names: list[str], texts: list[bytes]):
-    """(rule, seconds, rejected) of every rule on every text."""
+    """(rule, seconds, rejected) of every rule on every text, each with what it needs counted."""
     for text in texts:
-        counts = Counts(text)
         for name in names:
+            counts = Counts(text)
             start = perf_counter()
-            rejected = ALL_LENGTHS[name](counts)
+            rejected = CASCADE[name](counts)
             yield name, perf_counter() - start, int(rejected)
 
 
@@ -139,7 +165,7 @@ def judged(
             "n_words": c.n_words, "word_chars": c.word_chars, "n_symbols": c.n_symbols,
             "n_dup_lines": c.n_dup_lines, "n_repeat_words": c.n_repeat_words,
             "base_failed": c.base_failed,
-            "kept": not c.base_failed and not any(ALL_LENGTHS[name](c) for name in order),
+            "kept": not c.base_failed and not any(CASCADE[name](c) for name in order),
         }
 
     kind = (
@@ -147,3 +173,14 @@ def judged(
         "n_repeat_words:bigint, base_failed:boolean, kept:boolean>"
     )
     return docs.withColumn(column, per_row(judge, kind)(utf8("text")))
+
+
+def kept(docs: DataFrame, column: str, order: list[str] | None = None) -> DataFrame:
+    """``docs`` plus the verdict alone: too few words, then the rules in order until one rejects."""
+    order = planned(docs, rules=CASCADE) if order is None else order
+
+    def judge(text: bytes) -> bool:
+        c = Counts(text)
+        return c.n_words >= MIN_WORDS and not any(CASCADE[name](c) for name in order)
+
+    return docs.withColumn(column, per_row(judge, "boolean")(utf8("text")))

@@ -18,7 +18,7 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -31,8 +31,8 @@ from lodgeflow.llm.common import fresh, landed, map_rows, per_row, utf8
 
 SEED = 42
 BLOCKS = 6
-#: Block groups above this size are split by 16-bit blocks before comparison.
-DIRECT = 4096
+#: Block groups above this size are split by their other bits before comparison.
+DIRECT = 1024
 
 
 def fingerprint(text: bytes, words_per_shingle: int = 3) -> int:
@@ -88,17 +88,25 @@ def _forest(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _group_edges(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    if len(values) <= DIRECT or distance > 3:
+def _group_edges(values: np.ndarray, distance: int, bits: Sequence[int] = range(64)) -> list[tuple[int, int]]:
+    """Edges that link what is within ``distance`` among values that agree in all bits but ``bits``.
+
+    Large groups are split by pigeonhole again: of ``distance + 1`` parts of the
+    bits, one is equal. Groups shrink with each split, until they are small or
+    there are no bits left to split by.
+    """
+    if len(values) <= DIRECT or len(bits) <= distance:
         return _forest(values, distance)
     edges = []
-    for shift in (0, 16, 32, 48):  # at most three differing bits leave one of four blocks equal
-        key = (values >> np.uint64(shift)) & np.uint64(0xFFFF)
+    for k in range(distance + 1):
+        part = bits[k :: distance + 1]
+        mask = np.uint64(sum(1 << b for b in part))
+        rest = [b for b in bits if b not in part]
+        key = values & mask
         order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
-        for part in np.split(values[order], cuts):
-            if len(part) > 1:
-                edges += _forest(part, distance)
+        for group in np.split(values[order], np.flatnonzero(np.diff(key[order])) + 1):
+            if len(group) > 1:
+                edges += _group_edges(group, distance, rest)
     return edges
 
 
@@ -114,28 +122,40 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
         .sortWithinPartitions("i", "block")
     )
 
+    free = [[b for b in range(64) if not (mask >> b) & 1] for mask in _masks(distance)]
+
     def met(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of equal keys; the last run of a batch waits for the next one."""
-        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))
-
-        def pairs(i, block, fp, last):
-            edge = np.flatnonzero((np.diff(i) != 0) | (np.diff(block) != 0)) + 1
-            bounds = np.concatenate(([0], edge, [len(fp)]))
-            keep = len(fp) if last else bounds[-2]
-            runs = [k for k in np.flatnonzero(np.diff(bounds) > 1) if bounds[k + 1] <= keep]
-            found = [e for k in runs for e in _group_edges(fp[bounds[k] : bounds[k + 1]], distance)]
+        """Runs of equal keys, gathered over batches until the next key begins."""
+        key, held = None, []
+
+        def edges(groups: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            found = [e for i, values in groups if len(values) > 1 for e in _group_edges(values, distance, free[i])]
             array = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            return array, (i[keep:], block[keep:], fp[keep:])
+            return pa.RecordBatch.from_arrays([pa.array(array[:, 0]), pa.array(array[:, 1])], ["a", "b"])
 
         for batch in source:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            i, block = (np.concatenate((h, x.astype(np.int64))) for h, x in zip(held[:2], new))
-            fp = np.concatenate((held[2], new[2].view(np.uint64)))
-            array, held = pairs(i, block, fp, False)
-            yield pa.RecordBatch.from_arrays([pa.array(array[:, 0]), pa.array(array[:, 1])], ["a", "b"])
-        if len(held[2]):
-            array, _ = pairs(*held, True)
-            yield pa.RecordBatch.from_arrays([pa.array(array[:, 0]), pa.array(array[:, 1])], ["a", "b"])
+            if not batch.num_rows:
+                continue
+            i, block, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            fp = fp.view(np.uint64)
+            cuts = np.flatnonzero((np.diff(i) != 0) | (np.diff(block) != 0)) + 1
+            bounds = np.concatenate(([0], cuts, [len(fp)]))
+            first, last = (int(i[0]), int(block[0])), (int(i[-1]), int(block[-1]))
+            groups, start = [], 0
+            if key == first:
+                held.append(fp[: bounds[1]])
+                start = 1
+            if key is not None and (key != first or len(bounds) > 2):
+                groups.append((key[0], np.concatenate(held)))
+                key = None
+            if start < len(bounds) - 1:  # the batch's last run waits for the next batch
+                whole = np.flatnonzero(np.diff(bounds)[start:-1] > 1) + start
+                groups += [(int(i[bounds[k]]), fp[bounds[k] : bounds[k + 1]]) for k in whole]
+                key, held = last, [fp[bounds[-2] :].copy()]
+            if groups:
+                yield edges(groups)
+        if key is not None:
+            yield edges([(key[0], np.concatenate(held))])
 
     return dealt.mapInArrow(met, "a bigint, b bigint").distinct()
 

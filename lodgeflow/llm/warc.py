@@ -37,8 +37,8 @@ from pyspark.sql.types import StructType
 
 from lodgeflow.llm.common import per_row
 
-#: Records of one archive file; a file is read as a whole by one task.
-RECORDS_PER_FILE = 1000
+#: Records and bytes of one archive file; a file is read as a whole by one task, which can take up to 2 GB.
+RECORDS_PER_FILE, BYTES_PER_FILE = 1000, 1 << 30
 DATE = "2024-01-01T00:00:00Z"
 
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -84,7 +84,12 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "none") -> None:
-    """Write (page_id, url, html) as archive files below ``path``, which must not exist."""
+    """Write (page_id, url, html) as archive files below ``path``, which must not exist.
+
+    A file holds at most RECORDS_PER_FILE records; pages of more than their share
+    of BYTES_PER_FILE go to files of their own, with as few records as keep these
+    below that size too. So no file outgrows what a task reads at once.
+    """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     pages = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha", F.sha1("payload"))
     # Only payloads that occur again need a look-up; the sizes and digests alone are shuffled for it.
@@ -103,9 +108,17 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "n
     )
     members = compression == "gzip"
     built = per_row(member if members else record, "binary")("page_id", "url", "payload", "refers_to").cast("string")
-    writer = revisits.select(built.alias("record")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
-    # The bytes of members are final: the sink only adds the last one of each.
-    writer.option("compression", "none" if members else compression).option("lineSep", "\0" if members else "\n").text(path)
+    usual = BYTES_PER_FILE // RECORDS_PER_FILE
+    # From the sizes alone: no page is written before it is known whether large ones need files of their own.
+    (largest,) = pages.agg(F.max(F.length("payload"))).first()
+    parts = [(F.length("payload") <= usual, RECORDS_PER_FILE)]
+    if (largest or 0) > usual:
+        parts.append((F.length("payload") > usual, max(1, BYTES_PER_FILE // largest)))
+    for chosen, records in parts:
+        # The bytes of members are final: the sink only adds the last one of each.
+        writer = revisits.where(chosen).select(built.alias("record")).write.mode("append" if chosen is not parts[0][0] else "error")
+        writer = writer.option("maxRecordsPerFile", records).option("compression", "none" if members else compression)
+        writer.option("lineSep", "\0" if members else "\n").text(path)
 
 
 def _plain(data: bytes, at: int) -> tuple[dict, int] | None:

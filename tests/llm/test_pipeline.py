@@ -64,9 +64,19 @@ def test_stages_on_edge_rows(spark, docs):
         for rows in (table, table.limit(0)):
             out = stage(spark, rows, SF)
             found = out.collect()
-            if name != "mixing":
-                assert out.columns == table.columns
+            assert out.columns[: len(table.columns)] == table.columns
+            assert out.columns[len(table.columns) :] == (["n_tokens", "probability"] if name == "mixing" else [])
             if rows is not table:
                 assert found == []
     once = corpus_pipeline.near_duplicates(spark, table, SF).collect()
     assert sorted((r.doc_id for r in once if r.text == prose), key=repr) == [3]
+
+
+def test_a_given_topic_is_raked(spark, docs):
+    """Cells are those of the given topics, and columns of the same names as the new ones stay."""
+    prose = [(k, " ".join(f"w{k}x{j}" for j in range(60))) for k in range(40)]
+    table = docs(*prose).withColumnRenamed("fp", "n_tokens").selectExpr("*", "if(doc_id < 30, 'often', 'rare') AS topic")
+    out = corpus_pipeline.mixing_to_targets(spark, table, SF)
+    assert out.columns == [*table.columns, "n_tokens_", "probability"]
+    found = {r.topic: r.probability for r in out.collect()}
+    assert found["rare"] == 1.0 and abs(found.get("often", 1) - (30 / 10) ** (0.7 - 1)) < 1e-6

@@ -80,3 +80,22 @@ def test_junk_of_few_words_at_both_sides_of_5000(docs):
     assert {r.doc_id for r in kept.collect()} == {3, 4, 5}
     sql = quality_cascade.judged(table).collect()  # as the SQL counterpart has it
     assert {r.doc_id: r.quality.kept for r in sql}[0] is False
+
+
+def test_the_verdict_alone_is_the_same(docs, monkeypatch):
+    """In any order, and without counting what no rule has asked for."""
+    rng = random.Random(8)
+    texts = [None, "", "a b", "a " * 200_000]
+    for _ in range(60):
+        pool = ["plain", "words", "HERE", "12345", "#", "*|*", "x"] + [f"w{k}" for k in range(rng.choice([3, 40, 400]))]
+        texts.append(rng.choice([" ", "\n"]).join(rng.choice(pool) for _ in range(rng.randrange(30, 400))))
+    table = docs(*enumerate(texts))
+    want = {r.doc_id: r.quality.kept for r in quality_cascade.judged(table).collect()}
+    assert 0 < sum(want.values()) < len(want)
+    names = list(quality_cascade.CASCADE)
+    for order in (None, names, names[::-1]):
+        assert {r.doc_id: r.ok for r in quality_cascade.kept(table, "ok", order).collect()} == want
+    counted = []
+    monkeypatch.setattr(quality_cascade, "_repeated", lambda words: counted.append(1) or 0)
+    c = quality_cascade.Counts(b"# " * 99)
+    assert any(quality_cascade.CASCADE[name](c) for name in ("symbols", "repetitive")) and not counted
