@@ -1,10 +1,13 @@
 """Personal data by weak supervision.
 
 The base detectors (email, ip, card, phone) are exact patterns and always stand.
-Beyond them every number or token with a digit that no base span covers is a
-candidate. Labelers vote on each candidate for, against or not at all: a regex
-on its shape, a gazetteer of words that announce such data, and its context.
-Expectation-maximisation over the counts of vote patterns of all documents
+Beyond them candidates are the long numbers and tokens with a digit that no base
+span covers, and whatever an announcing word or an assignment points at: any
+token behind "password =" or "Kennwort:", of letters only too, and short numbers
+and tokens right behind an announcing word or assigned in a line that has one.
+Labelers vote on each candidate for, against or not at all: a regex on its shape,
+a gazetteer of announcing words in four languages on the words right before it,
+the same on its whole line, and its context. Expectation-maximisation over the counts of vote patterns of all documents
 estimates how reliable each labeler is; the resulting label probabilities train
 a naive Bayes classifier on features of the candidate, which decides.
 
@@ -40,12 +43,37 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]+")
 _TOKEN = re.compile(r"[A-Za-z0-9_+/=-]*")
 _NUMBER = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])+")
+_VALUE = re.compile(r"[ \t]*[\"']?([^\s\"',;<>()\[\]{}]+)")
+_GROUPED = re.compile(r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}|\d{3}-\d{2}-\d{4}|\(?\d{2,5}\)?(?:[ ./-]\d{2,5}){2,4}")
 ANNOUNCING = frozenset(
-    "token key secret password passwd pwd api apikey bearer auth credential ssn social iban account acct "
-    "passport phone tel telephone mobile cell call fax whatsapp".split()
+    "token key secret password passwd pwd pass api apikey bearer auth credential credentials login pin ssn social iban "
+    "account acct passport licence license phone tel telephone mobile cell call fax whatsapp "
+    "passwort kennwort schlüssel geheim geheimnis zugang anmeldung konto kontonummer ausweis reisepass telefon handy anruf "
+    "passe clé clef jeton identifiant compte passeport téléphone portable "
+    "contraseña clave secreto cuenta pasaporte teléfono móvil celular llamar".split()
 )
+#: Digits of a number and characters of a token that make it a candidate by itself.
+LONG_NUMBER, LONG_TOKEN = 7, 12
 
-_WORD = re.compile(r"[A-Za-z]+")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+class _Lines:
+    """Whether a line has announced private data before a place; places are asked for from left to right."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.seen, self.found = text, 0, 0, False
+
+    def announced(self, at: int) -> bool:
+        start = self.text.rfind("\n", self.seen, at) + 1
+        if start > self.start:
+            self.start, self.seen, self.found = start, start, False
+        if not self.found and at > self.seen:
+            # Begins a word early, as the last stretch may have ended inside one.
+            words = _WORD.findall(self.text, max(self.start, self.seen - 24), at)
+            self.found = any(w.lower() in ANNOUNCING for w in words)
+        self.seen = max(self.seen, at)
+        return self.found
 
 
 def _luhn(digits: str) -> bool:
@@ -89,8 +117,38 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]):
-    """(kind, start, end) of digit-bearing tokens and numbers outside base spans, left to right."""
+    """(kind, start, end) of the candidates outside base spans, left to right."""
+    found = sorted([*_with_digits(text, base), *_assigned(text, base)], key=lambda c: (c[1], -c[2]))
+    done = 0
+    for kind, start, end in found:
+        if start >= done:
+            yield kind, start, end
+            done = end
+
+
+def _assigned(text: str, base: list[tuple[str, int, int]]):
+    """Tokens of letters that an announcing word assigns, as in ``password = correcthorse``."""
+    taken = sorted((s, e) for _, s, e in base)
+    k = 0
+    for m in re.finditer("[=:]", text):
+        words = _WORD.findall(text, max(0, m.start() - 24), m.start())
+        if not words or words[-1].lower() not in ANNOUNCING or text[m.start() - 1 : m.start()].isdigit():
+            continue
+        value = _VALUE.match(text, m.end(), m.end() + 4096)
+        if value is None or not any(c.isalnum() for c in value[1]) or _DIGIT.search(value[1]):
+            continue
+        start, end = value.span(1)
+        end -= len(value[1]) - len(value[1].rstrip(".:!?"))
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if k == len(taken) or taken[k][0] >= end:
+            yield "secret", start, end
+
+
+def _with_digits(text: str, base: list[tuple[str, int, int]]):
+    """Tokens and numbers with a digit: long ones, and short ones that their surroundings point at."""
     taken = sorted((s, e) for _, s, e in base)
+    lines = _Lines(text)
     done = k = plain = 0  # plain: end of the last token, where it has no letter
     for m in _DIGIT.finditer(text):
         start, end = m.span()
@@ -105,38 +163,50 @@ def candidates(text: str, base: list[tuple[str, int, int]]):
             while start > free and _TOKEN.fullmatch(text[start - 1]):
                 start -= 1
             end = _TOKEN.match(text, end, limit).end()
-            plain = 0 if _WORD.search(text, start, end) else end
+            start += text[start:end].rstrip("=").rfind("=") + 1  # what an assignment without spaces assigns
+            plain = 0 if _LATIN.search(text, start, end) else end
         if plain:
             number = _NUMBER.match(text, m.start(), limit)
             kind, start, end = "number", m.start(), number.end() if number else m.end()
         done = max(end, m.end())
         size = sum(c.isdigit() for c in text[start:end]) if kind == "number" else end - start
-        if size >= (7 if kind == "number" else 12):
+        if size >= (LONG_NUMBER if kind == "number" else LONG_TOKEN):
             yield kind, start, end
+        else:
+            near, assigned, _ = _pointed(text, start)
+            if near or assigned and lines.announced(start):
+                yield kind, start, end
+
+
+_LATIN = re.compile(r"[A-Za-z]+")
+
+
+def _pointed(text: str, start: int) -> tuple[bool, bool, bool]:
+    """Whether one of the two words before a place announces it, whether it is assigned, or goes on plain text."""
+    before = text[max(0, start - 24) : start]
+    near = any(w.lower() in ANNOUNCING for w in _WORD.findall(before)[-2:])
+    return near, re.search(r"[=:]\s*[\"']?$", before) is not None, re.search(r"[\w,.] $", before) is not None
 
 
-def described(text: str, kind: str, start: int, end: int) -> tuple[str, str]:
-    """Votes of the labelers, one of + - 0 each, and the features of a candidate."""
-    body, before = text[start:end], text[max(0, start - 24) : start]
+def described(text: str, kind: str, start: int, end: int, line: bool = False) -> tuple[str, str]:
+    """Votes of the labelers, one of + - 0 each, and the features of a candidate; ``line``: its line announces it."""
+    body = text[start:end]
     letters, digits = sum(c.isalpha() for c in body), sum(c.isdigit() for c in body)
-    near = {w.lower() for w in _WORD.findall(before)[-2:]}
-    announced = bool(near & ANNOUNCING)
-    assigned = re.search(r"[=:]\s*[\"']?$", before) is not None
-    plain = re.search(r"[\w,.] $", before) is not None
+    near, assigned, plain = _pointed(text, start)
     if kind == "secret":
         shape = "+" if len(body) >= 20 and digits >= 4 and letters >= 4 and body.isalnum() else "0"
     else:
-        grouped = re.fullmatch(r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}|\d{3}-\d{2}-\d{4}", body) is not None
-        shape = "+" if grouped else "-"
-    votes = shape + ("+" if announced else "0") + ("+" if assigned else "-" if plain else "0")
+        shape = "+" if digits >= 9 and _GROUPED.fullmatch(body) else "-"
+    votes = shape + ("+" if near else "0") + ("+" if line else "0") + ("+" if assigned else "-" if plain else "0")
     features = ";".join(
         (
             kind,
             f"length={min(len(body) // 8, 8)}",
             f"digits={10 * digits // max(1, digits + letters)}",
             f"shape={shape}",
-            f"quoted={before[-1:] in ('\"', chr(39))}",
-            f"announced={announced}",
+            f"quoted={text[start - 1 : start] in ('\"', chr(39))}",
+            f"announced={'near' if near else 'line' if line else 'no'}",
+            f"assigned={assigned}",
         )
     )
     return votes, features
@@ -154,7 +224,8 @@ def scanned(text: Column) -> Column:
     def scan(value: bytes) -> dict:
         text = value.decode("utf-8", "replace")
         base = base_spans(text)
-        more = [(k, s, e, *described(text, k, s, e)) for k, s, e in candidates(text, base)]
+        lines = _Lines(text)
+        more = [(k, s, e, *described(text, k, s, e, lines.announced(s))) for k, s, e in candidates(text, base)]
         names = ("kind", "start", "end", "votes", "features")
         return {"base": [dict(zip(names, x)) for x in base], "more": [dict(zip(names, x)) for x in more]}
 

@@ -84,3 +84,63 @@ def test_em_recovers_reliabilities():
     belief, right = pii_votes.reliabilities(patterns)
     assert all(abs(a - b) < 0.05 for a, b in zip(true, right))
     assert belief["+++"] > 0.9 > 0.1 > belief["---"]
+
+
+def added(text):
+    return [(k, text[a:b]) for k, a, b in pii_votes.candidates(text, pii_votes.base_spans(text))]
+
+
+def test_whatever_is_announced_or_assigned_is_a_candidate():
+    """Short and long, of digits, letters or both, in four languages; what nothing points at stays out while short."""
+    assert added("password = hunter22") == [("secret", "hunter22")]
+    assert added("password = correcthorse, ok") == [("secret", "correcthorse")]
+    assert added('"kennwort": "geheimnis"') == [("secret", "geheimnis")]
+    assert added("my pin: 4821.") == [("number", "4821")]
+    assert added("Mot de passe : soleil!") == [("secret", "soleil")]
+    assert added("contraseña=abc1") == [("secret", "abc1")]
+    assert added("token=" + "a1" * 20) == [("secret", "a1" * 20)] and added("k=ab12ab12ab12ab==") == [("secret", "ab12ab12ab12ab==")]
+    assert added("token " + "a1" * 6) == added("about " + "a1" * 6) == [("secret", "a1" * 6)]
+    assert added("it was 1984 and 12 of b52") == [] == added("at 9:30 she said: hello")
+    assert added("key: a@b.cd") == []  # a base span
+    assert added("12345678 and 1234567") == [("number", "12345678"), ("number", "1234567")]
+
+
+def test_the_whole_line_announces():
+    line = "account number, as was said before at some length, is 12345678"
+    text = f"12345678\n{line} 87654321\n12345678"
+    lines = pii_votes._Lines(text)
+    found = [(text[a:b], lines.announced(a)) for _, a, b in pii_votes.candidates(text, [])]
+    assert [x for _, x in found] == [False, True, False] or [x for _, x in found] == [False, True, True, False]
+    votes = [v["votes"] for v in _votes(text)]
+    assert votes[0][2] == "0" and votes[1][2] == "+" and votes[-1][2] == "0"
+
+
+def _votes(text):
+    lines = pii_votes._Lines(text)
+    for k, a, b in pii_votes.candidates(text, pii_votes.base_spans(text)):
+        votes, features = pii_votes.described(text, k, a, b, lines.announced(a))
+        yield {"votes": votes, "features": features}
+
+
+def test_numbers_and_short_secrets_are_added(docs):
+    """Announced and assigned data among plain numbers and words; the classifier tells them apart."""
+    rng = random.Random(2)
+    rows, want = [], {}
+    for k in range(300):
+        number, word = rng.randrange(10**7, 10**8), "".join(rng.choice("abcdefgh") for _ in range(8))
+        text, private = rng.choice([
+            (f"the sum of {number} things, then", ""), (f"in {rng.randrange(1000, 2100)} it was so", ""),
+            (f"my account number is: {number}", f"number {number}"), (f"password = {word}", f"secret {word}"),
+            (f'pin: "{number % 10000:04d}"', f"number {number % 10000:04d}"), (f"telefon: 030 {number}", f"number 030 {number}"),
+        ])
+        rows.append((k, text))
+        want[k] = private
+    found = docs(*rows).withColumn("found", pii_votes.scanned(F.col("text")))
+    spans = pii_votes.all_spans(pii_votes.trained(found, "found"), "found")
+    got = {r.doc_id: " ".join(f"{s.kind} {r.text[s.start:s.end]}" for s in r.spans) for r in found.select("doc_id", "text", spans.alias("spans")).collect()}
+    assert got == want
+
+
+def test_one_long_line_is_read_once():
+    text = "key " + "12345678 word " * 40_000
+    assert len(list(_votes(text))) == 40_000
