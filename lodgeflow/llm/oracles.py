@@ -14,6 +14,38 @@ def _escaped(text: str) -> str:
 
 _TRAP = r"\### Assistant: </turn> ok"
 
+# Texts as hexadecimal digits, two a byte, cut into overlapping pieces so that substr stays cheap.
+OP1 = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 2 * 2147) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 2048)) AS p FROM docs)
+), windows AS (
+  SELECT doc_id, p + o AS i, md5_number(substr(part, 2 * o + 1, 200)) AS k
+  FROM (SELECT *, unnest(range(0, least(2048, length(part) // 2 - 99))) AS o FROM pieces)
+), again AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), starts AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, -1) AS opens FROM again
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL
+  SELECT doc_id, coalesce(max(b), 0), max(length(h) // 2) FROM docs LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS rest FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST((length(h) - length(rest)) // 2 AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(rest)) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
 OP2 = f"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -151,4 +183,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM divided
 """
 
-ORACLES = {"op2_chat": OP2, "op4_quality": OP4, "op7_decontam": OP7, "op10_warc": OP10, "op13_infill": OP13}
+ORACLES = {"op1_suffix": OP1, "op2_chat": OP2, "op4_quality": OP4, "op7_decontam": OP7, "op10_warc": OP10, "op13_infill": OP13}
