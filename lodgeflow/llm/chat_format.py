@@ -13,7 +13,9 @@ in order from a sorted partition; one conversation is held at a time.
 
 Defined cases: a null text or role is empty; rows of one turn number follow by
 role, then text, and all stay; a null conversation id is a conversation of its
-own; an empty table gives an empty table. Other columns are not read.
+own; an empty table gives an empty table. A conversation, however long its texts,
+is held whole by one task, as it is rendered and encoded once. Other columns are
+not read.
 """
 
 from __future__ import annotations

@@ -16,8 +16,10 @@ writes the hits of the documents that have some, and these are united by documen
 
 Defined cases: a null or wordless text has no words and is clean; a null or
 wordless item matches nothing; items that repeat a text all count; rows repeated
-in the documents come back repeated; empty tables give no rows or no hits. Other
-columns of both inputs are not read.
+in the documents come back repeated; empty tables give no rows or no hits. A very
+long text is streamed word by word, with its words and spans in memory. Other
+columns of both inputs are not read, and those of the documents are kept; the new
+one's name must be free.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Defined cases: a null source, language or topic is the value ""; a null, empty o
 blank text has no tokens, adds no weight, and is kept with its cell's
 probability (0 in a cell without any token); rows of one id share their draw; a
 value without a target share gets weight 0; targets of values that do not occur
-are spread over the others; an empty table gives an empty table.
+are spread over the others; an empty table gives an empty table. Texts of any
+length are only counted. Other columns are not read.
 """
 
 from __future__ import annotations

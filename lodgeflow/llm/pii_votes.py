@@ -16,7 +16,10 @@ the feature combinations, whatever the number of documents.
 
 Defined cases: a null or empty text has no spans; equal candidates in repeated
 rows count as often as they occur; with no candidate anywhere the classifier adds
-nothing; offsets are code points with an exclusive end. Other columns are kept.
+nothing; offsets are code points with an exclusive end; spans that tie on their
+start keep the order of their kinds; an empty table gives an empty one. Time and
+memory grow in proportion to a text's length, however long it or a line of it is.
+Other columns are kept; the new one's name must be free.
 """
 
 from __future__ import annotations

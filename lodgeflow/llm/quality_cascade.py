@@ -14,7 +14,8 @@ one more rule of the cascade, and what a text's rules don't ask for is not count
 Defined cases: a null, empty or blank text has no words and fails the base rule;
 text without a repeated window has no repeated words; rows repeated in the input
 come back repeated; an empty table gives an empty table and the listed order of
-rules. Other columns are kept as they are.
+rules. A very long text is held whole, one at a time, with its words. Other columns
+are kept as they are; the new one's name must be free.
 """
 
 from __future__ import annotations

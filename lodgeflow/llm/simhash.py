@@ -12,8 +12,9 @@ never all pairs: a forest has the same components.
 Defined cases: a null text, like a text of spaces, has no words and the
 fingerprint zero, which links like any other; a text of one or two words has one
 shingle; a null id counts in no component's smallest id; repeated rows come back
-repeated; an empty table gives an empty table. Other columns of the input are
-not read.
+repeated; an empty table gives an empty table. A very long text is one row's
+shingles, whose hashes are counted in pieces. Other columns of the input are not
+read, and stay with the representatives.
 """
 
 from __future__ import annotations

@@ -27,7 +27,8 @@ and the shuffles between the steps are Spark's.
 Defined cases: a null text is empty; a text of fewer than ``length`` bytes keeps
 all; rows of one id are ordered by a hash of their text, and rows that are equal
 in both count as one document and get the same result; a null id comes first; an
-empty table gives an empty table. Other columns are not read.
+empty table gives an empty table. Very long texts are hashed in pieces of 1 MB and
+cut into segments like others. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Defined cases: a null html is an empty payload; payloads of fewer than
 ``min_bytes`` are never revisits; rows that repeat the smallest id of their
 payload are all responses; a page without an id refers to the smallest id there
 is; control characters of a URL are percent-encoded; an empty table writes an
-archive without records. Other columns are not read.
+archive without records. A page is one record, built whole; pages far above the
+usual size go to files of few records. Other columns are not read.
 """
 
 from __future__ import annotations
