@@ -84,3 +84,19 @@ def test_empty_tables(spark, docs):
     assert decontam.with_hits(docs(), bench, "hits").collect() == []
     (row,) = decontam.with_hits(docs((1, "a b")), bench, "hits").collect()
     assert (row.hits.n_words, row.hits.spans, row.hits["items"]) == (2, [], [])
+
+
+def test_no_plan_holds_more_than_one_block(spark, docs, rows, plan, monkeypatch):
+    """Many blocks: each has a pass of its own, and only documents with hits are written for it."""
+    items = [(k, f"alpha{k} beta{k} gamma{k}") for k in range(6)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    table = docs(*[(k, f"x alpha{k} beta{k} gamma{k} alpha0 beta0 gamma0") for k in range(6)], (6, "clean"), (6, "clean"), (None, None))
+    want = rows(decontam.with_hits(table, bench, "hits").select("doc_id", "hits"))
+    landed, seen = decontam.landed, []
+    monkeypatch.setattr(decontam, "landed", lambda df, label: seen.append((label, plan(df), landed(df, label))) or seen[-1][2])
+    monkeypatch.setattr(decontam, "MAX_BLOCK_WORDS", 3)
+    found = decontam.with_hits(table, bench, "hits")
+    assert [label for label, _, _ in seen] == ["numbered"] + ["hits"] * 6
+    assert all(text.count("ArrowEvalPython") <= 1 for _, text, _ in seen) and plan(found).count("ArrowEvalPython") <= 1
+    assert [out.count() for _, _, out in seen[1:]] == [9, 1, 1, 1, 1, 1]
+    assert rows(found.select("doc_id", "hits")) == want and found.columns == [*table.columns, "hits"]

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 import xxhash
 
@@ -81,10 +82,35 @@ def test_links_of_a_dense_cluster_keep_its_components(spark):
 
 
 def test_large_block_groups_are_split(monkeypatch):
-    import numpy as np
-
     values = np.unique(np.array([random.getrandbits(12) for _ in range(600)], np.uint64))
     whole = simhash._forest(values, 3)
     monkeypatch.setattr(simhash, "DIRECT", 10)
     parts = simhash._group_edges(values, 3)
     assert len({x for e in parts for x in e}) == len({x for e in whole for x in e})
+
+
+def test_a_hot_block_is_split_by_its_other_bits(spark):
+    """20,000 different fingerprints with equal lower halves, in chains of two bits' distance and alone."""
+    rng = np.random.default_rng(4)
+    upper = np.unique(rng.integers(0, 2**32, 10_000, dtype=np.uint64))
+    near = upper ^ np.uint64(0b11 << 7)
+    values = np.unique(np.concatenate([upper, near])) << np.uint64(32) | np.uint64(77)
+
+    def parts(edges):
+        root = {int(v): int(v) for v in values}
+
+        def find(v):
+            while root[v] != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        for a, b in edges:
+            root[max(find(int(a)), find(int(b)))] = min(find(int(a)), find(int(b)))
+        return {v: find(v) for v in root}
+
+    want = parts(simhash._forest(values, 3))
+    assert parts(simhash._group_edges(values, 3, range(32, 64))) == want
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp bigint")
+    found = simhash.links(table).collect()
+    assert parts([(a % 2**64, b % 2**64) for a, b in found]) == want
+    assert len(set(want.values())) < len(values) * 0.6
