@@ -93,8 +93,8 @@ def _group_edges(values: np.ndarray, distance: int, bits: Sequence[int] = range(
     """Edges that link what is within ``distance`` among values that agree in all bits but ``bits``.
 
     Large groups are split by pigeonhole again: of ``distance + 1`` parts of the
-    bits, one is equal. Groups shrink with each split, until they are small or
-    there are no bits left to split by.
+    bits, one is equal. A part that a quarter of the values or more agree in holds
+    near copies, which a split would only repeat and a forest takes away at once.
     """
     if len(values) <= DIRECT or len(bits) <= distance:
         return _forest(values, distance)
@@ -106,7 +106,9 @@ def _group_edges(values: np.ndarray, distance: int, bits: Sequence[int] = range(
         key = values & mask
         order = np.argsort(key, kind="stable")
         for group in np.split(values[order], np.flatnonzero(np.diff(key[order])) + 1):
-            if len(group) > 1:
+            if 4 * len(group) > len(values):
+                edges += _forest(group, distance)
+            elif len(group) > 1:
                 edges += _group_edges(group, distance, rest)
     return edges
 
