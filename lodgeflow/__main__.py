@@ -8,11 +8,21 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 
-from lodgeflow import plans
+from lodgeflow import plans, schemas
 from lodgeflow.functions import MINUTE_STAMPS
 from lodgeflow.session import get_spark
 
 
+#: Tables that come as CSV, by the name given on the command line.
+TABLES = {
+    "listings": schemas.LISTINGS,
+    "reviews": schemas.REVIEWS,
+    "bookings": schemas.BOOKINGS,
+    "customer_reviews": schemas.CUSTOMER_REVIEWS,
+    "order_lines": schemas.PRICED_ORDER_LINES,
+}
+
+
 def _popular(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.popular_listings(spark, a.listings, a.reviews, a.output, header=not a.no_header, multi_line=not a.single_line)
 
@@ -57,6 +67,10 @@ def _quality(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.quality_report(spark, a.bookings, a.output_path)
 
 
+def _spoilt(spark: SparkSession, a: argparse.Namespace) -> None:
+    plans.spoilt_rows_report(spark, a.path, TABLES[a.table], a.output_path, multi_line=not a.single_line)
+
+
 def _visits(spark: SparkSession, a: argparse.Namespace) -> None:
     plans.page_visits_report(spark, a.visits, a.output_path)
 
@@ -142,6 +156,7 @@ def parser() -> argparse.ArgumentParser:
     csv_job("review-scores", _scores, "customer_reviews", "output_path")
     database("review-scores-from-database", _scores_db, "output_path", "start", "end")
     job("quality-report", _quality, "bookings", "output_path")
+    csv_job("spoilt-rows", _spoilt, "path", "output_path").add_argument("--table", choices=sorted(TABLES), required=True)
     job("page-visits", _visits, "visits", "output_path")
     extract = database("extract-orders", _extract, "raw_root", "day")
     extract.add_argument("--limit", type=int, help="extract only the first rows")

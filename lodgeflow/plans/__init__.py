@@ -20,6 +20,7 @@ from lodgeflow.plans.marketplace import (
 from lodgeflow.plans.quality import (
     page_visits_report,
     quality_report,
+    spoilt_rows_report,
     stream_page_visits,
     stream_quality,
     streamed_anomalies,
@@ -42,6 +43,7 @@ __all__ = [
     "quality_report",
     "review_scores",
     "review_scores_from_database",
+    "spoilt_rows_report",
     "stream_bookings",
     "stream_page_visits",
     "stream_quality",

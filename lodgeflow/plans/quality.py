@@ -1,15 +1,20 @@
-"""Jobs over minute batches of JSON."""
+"""Jobs over minute batches of JSON, and over CSV rows that do not fit their schema."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from lodgeflow import operators, schemas, sinks, sources, streaming
 from lodgeflow.functions import VALID_STATUSES, anomaly_messages, booking_rules
 from lodgeflow.session import scratch_dir
 
+log = logging.getLogger(__name__)
+
 
 def quality_report(
     spark: SparkSession, bookings: str, output_path: str, *, mode: str = "overwrite"
@@ -35,6 +40,24 @@ def quality_report(
     return counts
 
 
+def spoilt_rows_report(
+    spark: SparkSession, path: str, schema: StructType, output_path: str, *, multi_line: bool = True
+) -> dict[str, int]:
+    """Write the records of a CSV that its schema would spoil as JSON; return the counts of all its rows.
+
+    Each line of ``output_path`` holds a record's values, and under ``_rescued``
+    the problem, the whole record and the texts that became null. The counts are
+    those of :func:`lodgeflow.sources.rescued_counts`, taken in the same pass.
+    """
+    seen = Observation()
+    counts = [c.alias(name) for name, c in sources.rescued_counts(schema).items()]
+    rows = sources.read_csv_rescued(spark, path, schema, multi_line=multi_line, **sources.FOREIGN).observe(seen, *counts)
+    sinks.write_json(rows.where(F.col("_rescued").isNotNull()), output_path, mode="overwrite")
+    found = seen.get
+    log.info("%s: %s", path, ", ".join(f"{name} {n}" for name, n in found.items()))
+    return found
+
+
 def page_visits_report(
     spark: SparkSession, visits: str, output_path: str, *, mode: str = "overwrite"
 ) -> DataFrame:

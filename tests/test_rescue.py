@@ -1,11 +1,13 @@
 """Spoilt CSV rows are kept with what was lost, and counted in the pass that reads them."""
 
+import json
 from datetime import datetime
 
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from lodgeflow import __main__ as cli
 from lodgeflow import schemas, sources
 
 HEADER = "booking_id,listing_id,host,user_id,booking_time,status\n"
@@ -76,3 +78,13 @@ def test_only_texts(spark, tmp_path):
     (tmp_path / "a.csv").write_text("status,b\nx,1\ny\n")
     found = sources.read_csv_rescued(spark, f"{tmp_path}/a.csv", StructType([schema])).orderBy("status").collect()
     assert [r._rescued and r._rescued.problem for r in found] == [None, "short"]
+
+
+def test_the_job_writes_and_counts_spoilt_rows(spark, table, tmp_path, monkeypatch, caplog):
+    monkeypatch.setattr(cli, "get_spark", lambda name: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    with caplog.at_level("INFO", logger="lodgeflow.plans.quality"):
+        cli.main(["spoilt-rows", "--table", "bookings", "--path", f"{tmp_path}/a.csv", "--output_path", f"{tmp_path}/out"])
+    out = [json.loads(x) for p in (tmp_path / "out").glob("part-*") for x in p.read_text().splitlines()]
+    assert sorted(r["_rescued"]["problem"] for r in out) == ["bad text", "bad text", "short", "surplus"]
+    assert "n_rows 6, n_short 1, n_surplus 1, n_bad_text 2, bad_booking_id 1" in caplog.text
