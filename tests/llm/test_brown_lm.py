@@ -98,3 +98,25 @@ def test_edge_rows(docs):
     held = [k for k in range(60) if crc32(str(k).encode()) % 7 == 2]
     only = [(k, "never trained") for k in held]
     compare(brown_lm.scores(docs(*only)).collect(), only)
+
+
+@pytest.mark.parametrize("local", [1 << 16, 8])
+def test_rarer_words_of_one_ending_have_classes_of_their_own(spark, docs, monkeypatch, local):
+    """Beyond the most frequent words, nouns and verbs of one ending are told apart by their neighbours."""
+    monkeypatch.setattr(brown_lm, "LOCAL", local)
+    rng = random.Random(5)
+    rows = [(k, " ".join(f"f{j}" for j in range(700))) for k in range(6)]  # frequent words by themselves
+    nouns, verbs = ([f"{c}{j}ring" for j in range(20)] for c in "nv")
+    assert len({brown_lm.ending(w.encode()) for w in nouns + verbs}) == 1
+    for k in range(100, 160):
+        rows.append((k, " ".join(f"the a{rng.randrange(9)} will b{rng.randrange(9)} now" for _ in range(40))))
+    held = [k for k in range(2000, 3000) if crc32(str(k).encode()) % 7 == 2]
+    train = [k for k in range(1000, 2000) if crc32(str(k).encode()) % 7 != 2]
+    rows += [(k, f"the {n} will {v} now") for k, n, v in zip(train, nouns * 2, verbs * 2)]
+    right, wrong = held[:20], held[20:40]
+    rows += [(k, f"the {n} will {v} now") for k, n, v in zip(right, nouns, verbs)]
+    rows += [(k, f"the {v} will {n} now") for k, n, v in zip(wrong, nouns, verbs)]
+    got = {r.doc_id: r for r in brown_lm.scores(docs(*rows)).collect()}
+    for a, b in zip(right, wrong):
+        assert got[a].base_score == pytest.approx(got[b].base_score)
+        assert got[a].score > got[b].score + 1
