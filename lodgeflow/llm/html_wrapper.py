@@ -61,6 +61,8 @@ SENT_BYTES = 32 << 20
 KEPT_NODES = 200_000
 #: Cells of an alignment's table held at a time; larger child lists are halved until they fit.
 CELLS = 1 << 20
+#: Cells up to which a table is worked out in lists, as arrays only pay beyond.
+FEW_CELLS = 256
 
 # The block elements, those that never hold main text, and words of class names that say so.
 BLOCKS = frozenset(
@@ -164,7 +166,8 @@ def parsed(html: str) -> Node:
             link = not m[1]
         if m[1]:
             if name in BLOCKS:
-                flush()
+                if run:
+                    flush()
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == name:
                         del stack[k:]
@@ -180,7 +183,8 @@ def parsed(html: str) -> Node:
             if name == "br":
                 run.append(" ")
             continue
-        flush()
+        if run:
+            flush()
         closes = _CLOSES.get(name, _P)
         while len(stack) > 1 and stack[-1][0] in closes:
             stack.pop()
@@ -330,11 +334,17 @@ class _Matching:
     def mark(self, node: Shape, both: set[int]) -> None:
         for child in node.nodes:
             self.mark(child, both)
-        own = (node.hash,) if node.hash in both else ()
-        node.size = 1 + sum(c.size for c in node.nodes)
-        node.shared = frozenset(own).union(*(c.shared for c in node.nodes))
-        node.key = self.keys.setdefault(own or (node.sign, *(c.key for c in node.nodes)), len(self.keys))
-        node.kind = self.keys.setdefault((node.sign, *(c.kind for c in node.nodes)), len(self.keys))
+        own, keys = (node.hash,) if node.hash in both else (), self.keys
+        if not node.nodes:
+            kind = (node.sign,)
+            node.size, node.shared = 1, frozenset(own)
+            node.key = keys.setdefault(own or kind, len(keys))
+            node.kind = keys.setdefault(kind, len(keys))
+            return
+        node.size = 1 + sum([c.size for c in node.nodes])
+        node.shared = frozenset(own).union(*[c.shared for c in node.nodes if c.shared])
+        node.key = keys.setdefault(own or (node.sign, *[c.key for c in node.nodes]), len(keys))
+        node.kind = keys.setdefault((node.sign, *[c.kind for c in node.nodes]), len(keys))
 
     def key(self, node: Shape, common: frozenset) -> int:
         """The number of a subtree in which only the texts of ``common`` hashes count."""
@@ -394,6 +404,8 @@ class _Matching:
         for j, y in enumerate(ys):
             groups.setdefault(y.key, []).append(j)
         firsts = [(ys[g[0]], k) for k, g in enumerate(groups.values())]
+        if len(xs) * len(ys) <= FEW_CELLS:
+            return self.few(xs, ys, firsts, {k: n for n, k in enumerate(groups)}, repeated)
         place = np.empty(len(ys), np.int64)
         for k, g in enumerate(groups.values()):
             place[g] = k
@@ -442,6 +454,42 @@ class _Matching:
         return out
 
 
+    def few(self, xs, ys, firsts, group: dict[int, int], repeated: bool) -> list[tuple[Shape, Shape]]:
+        """The pairs of ``between`` for short lists: the same table, cell by cell."""
+        place = [group[y.key] for y in ys]
+        rows: dict[int, list[int]] = {}
+        best = [[0] * (len(ys) + 1)]
+        for x in xs:
+            if x.key not in rows:
+                worth = [0] * len(firsts)
+                for y, k in firsts:
+                    if x.sign == y.sign:
+                        equal, size = self.weight(x, y)
+                        worth[k] = (equal << 31) + size if repeated else size
+                rows[x.key] = worth
+            worth, above, last = rows[x.key], best[-1], 0
+            row = [0]
+            for j, k in enumerate(place):
+                most = above[j + 1]
+                if last > most:
+                    most = last
+                if worth[k] and above[j] + worth[k] > most:
+                    most = above[j] + worth[k]
+                row.append(most)
+                last = most
+            best.append(row)
+        i, j, out = len(xs), len(ys), []
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((xs[i], ys[j]))
+        return out[::-1]
+
+
 def _step(above: np.ndarray, worth: np.ndarray) -> np.ndarray:
     """The next row of an alignment's table."""
     row = above.copy()

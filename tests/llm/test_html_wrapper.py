@@ -1,3 +1,4 @@
+import random
 import re
 from html import unescape
 
@@ -197,3 +198,22 @@ def test_the_wrapper_decides_on_the_given_pages(spark):
                 stack += node.nodes
             removed += any(id(n) in taken and "a" not in n.sign for n in nodes if n.sign == "nav" or n.sign == "ul")
     assert removed >= 100
+
+
+def test_short_child_lists_need_no_arrays(monkeypatch):
+    """Short lists are aligned in plain lists, with the pairs that arrays give, ties included."""
+    rng = random.Random(3)
+
+    def page(depth=0):
+        parts = (page(depth + 1) if depth < 3 else "" for _ in range(rng.randrange(4)))
+        tag = rng.choice(("div", "section"))
+        return f"<{tag}>{rng.choice(('x', 'y', 'z', ''))}{''.join(parts)}</{tag}>"
+
+    trees = [html_wrapper.shaped(html_wrapper.parsed("".join(page() for _ in range(4)))) for _ in range(120)]
+    both = list(zip(trees[::2], trees[1::2]))
+    numbers = lambda: [[(a.number, b.number) for a, b in html_wrapper.aligned(*pair)] for pair in both]
+    monkeypatch.setattr(html_wrapper, "FEW_CELLS", 0, raising=False)
+    want = numbers()
+    monkeypatch.undo()
+    monkeypatch.setattr(html_wrapper, "_step", None)
+    assert numbers() == want
